@@ -100,10 +100,10 @@ class Caps:
     quantity: float
 
 
-def find_caps(df: DataFrame, settings: Settings = DEFAULTS, count: int | None = None) -> Caps:
+def find_caps(df: DataFrame, settings: Settings = DEFAULTS) -> Caps:
     """Upper percentiles of price and quantity over positive lines."""
     found = exact_quantiles(df, {"Price": [settings.price_cap],
-                                 "Quantity": [settings.quantity_cap]}, count)
+                                 "Quantity": [settings.quantity_cap]})
     if found["Price"][0] is None:
         raise DataContractError("no line with positive quantity and price")
     return Caps(round(found["Price"][0], CAP_DIGITS), round(found["Quantity"][0], CAP_DIGITS))
@@ -140,19 +140,21 @@ def flag_iqr_outliers(df: DataFrame, column: str, out: str = "is_outlier",
 
 def clean_transactions(raw: DataFrame, settings: Settings = DEFAULTS,
                        caps: Caps | None = None) -> DataFrame:
-    """The whole cleaning chain; the caps are taken before deduplication."""
-    lines = drop_missing_critical(coerce_types(raw.select(*[F.col(f"`{c}`") for c in REQUIRED]),
-                                               settings))
-    positive = (F.col("Quantity") > 0) & (F.col("Price") > 0)
-    facts = lines.agg(F.count_if(positive).alias("positive"),
-                      F.count_if(F.col("Description").isNull()).alias("no_text"),
-                      F.count_if(F.col("Country").isNull()).alias("no_country")).first()
+    """The whole cleaning chain; the caps are taken before deduplication.
+
+    The typed lines are stored once, so that text is parsed once and the passes for
+    modes and caps read only their columns.
+    """
+    raw = raw.select(*[F.col(f"`{c}`") for c in REQUIRED])
+    lines = materialize(drop_missing_critical(coerce_types(raw, settings)), "typed-lines")
+    gaps = lines.agg(F.count_if(F.col("Description").isNull()).alias("text"),
+                     F.count_if(F.col("Country").isNull()).alias("country")).first()
     if caps is None:
-        caps = find_caps(keep_positive(lines), settings, facts["positive"])
+        caps = find_caps(keep_positive(lines), settings)
     out = lines
-    if facts["no_country"]:
+    if gaps["country"]:
         out = fill_countries(out)
-    if facts["no_text"]:
+    if gaps["text"]:
         out = fill_descriptions(out)
     out = keep_positive(bucket_guests(out))
     return dedupe_lines(cap_outliers(out, caps))

@@ -15,7 +15,7 @@ from ..functions.scalars import (clip, elapsed_days, exact_avg, exact_sum, produ
 from ..schema import DEFAULTS, ROW_ORDER, Settings
 from ..session import materialize
 from .joins import attach
-from .ranking import SMALL, select_ranks, with_average_rank
+from .ranking import SMALL, select_ranks_by, with_average_rank
 
 MONEY = "decimal(18,6)"
 # Ranked ratios are rounded here, so that equal ratios tie on any machine.
@@ -166,11 +166,12 @@ def first_line_quartiles(lines: DataFrame, customers: DataFrame,
     n = customers.agg(F.sum("n_lines").alias("n")).first()["n"] or 0
     ranks = _boundary_ranks(n) if n else []
     out = customers
-    cuts = {}
-    for measure in measures:
-        merged = customers.groupBy(measure).agg(
-            F.sum("n_lines").alias("n_lines"), F.count("*").alias("n_customers"))
-        cuts[measure] = select_ranks(merged, [measure], ranks, "n_lines", limit) if n else []
+    # Measures are compared as doubles; all of them hold whole numbers or amounts.
+    long = customers.select("n_lines", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("v"))
+        for m in measures])).alias("_p")).select("n_lines", "_p.*")
+    merged = long.groupBy("measure", "v").agg(F.sum("n_lines").alias("n_lines"))
+    cuts = select_ranks_by(merged, "measure", ["v"], {m: ranks for m in measures}, "n_lines", limit)
     # Boundary values that several customers share and whose lines fall on both sides.
     open_ties = {}
     for measure, found in cuts.items():
@@ -187,7 +188,7 @@ def first_line_quartiles(lines: DataFrame, customers: DataFrame,
     types = {f.name: f.dataType for f in lines.schema.fields}
     for measure, name in measures.items():
         quartile = F.lit(1)
-        for j, cut in enumerate(cuts[measure]):
+        for j, cut in enumerate(cuts.get(measure, [])):
             value = F.lit(cut["key"][0])
             above = F.col(measure) > value
             if (measure, j) in lines_at:
@@ -219,17 +220,17 @@ def _boundary_lines(lines, customers, open_ties, limit) -> dict:
         .groupBy("ties", "InvoiceDate").agg(F.count("*").alias("n"))
         .select(F.explode("ties").alias("tie"), "InvoiceDate", "n")
         .groupBy("tie", "InvoiceDate").agg(F.sum("n").alias("n")), "tie-times")
-    out = {}
-    for (measure, j), (_, position) in open_ties.items():
-        tie = f"{measure}#{j}"
-        at = select_ranks(per_time.filter(F.col("tie") == tie), ["InvoiceDate"], [position],
-                          "n", limit)[0]
-        moment = lines.filter(F.col("InvoiceDate") == at["key"][0])
-        owners = members.filter(F.array_contains("ties", tie)).select("Customer ID")
-        here = moment.join(owners, "Customer ID", "left_semi")
-        line = select_ranks(here, ROW_ORDER, [position - at["before"]], limit=limit)[0]
-        out[(measure, j)] = line["key"]
-    return out
+    places = {f"{m}#{j}": position for (m, j), (_, position) in open_ties.items()}
+    times = select_ranks_by(per_time, "tie", ["InvoiceDate"], {t: [p] for t, p in places.items()},
+                            "n", limit)
+    moments = {t: found[0]["key"][0] for t, found in times.items()}
+    moment_of = F.create_map(*[F.lit(x) for pair in moments.items() for x in pair])
+    here = (lines.filter(F.col("InvoiceDate").isin(sorted(set(moments.values()))))
+            .join(members.select("Customer ID", F.explode("ties").alias("tie")), "Customer ID")
+            .filter(F.col("InvoiceDate") == F.element_at(moment_of, F.col("tie"))))
+    at = select_ranks_by(here, "tie", ROW_ORDER,
+                         {t: [places[t] - times[t][0]["before"]] for t in places}, limit=limit)
+    return {key: at[f"{key[0]}#{key[1]}"][0]["key"] for key in open_ties}
 
 
 def _with_first_keys(lines, customers, moments) -> DataFrame:

@@ -20,9 +20,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..session import materialize
 from .joins import attach
 
-SMALL = 200_000       # distinct keys one task may order
+SMALL = 1_000_000     # distinct keys one task may order
 SPLITTERS = 24        # range boundaries per selection round
 SAMPLE_ROWS = 5_000   # sampled keys from which boundaries are taken
+SKETCH = 10_000       # accuracy of the quantile sketch: rank error n / SKETCH
 
 
 def _key(names: list[str]) -> Column:
@@ -112,30 +113,101 @@ def _select_narrowing(rows: DataFrame, by: list[str], rank: int, size: int, limi
     return _select_small(rows, by, [rank], offset)[0]
 
 
-def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]], count: int | None = None,
+def select_ranks_by(df: DataFrame, group: str, by: list[str], ranks: dict[str, list[int]],
+                    weight: str | None = None, limit: int = SMALL) -> dict[str, list[dict]]:
+    """`select_ranks` in several groups (few, with text names) at once.
+
+    Small groups are ordered together by one job; beyond `limit` rows each group is
+    narrowed on its own.
+    """
+    ranks = {g: r for g, r in ranks.items() if r}
+    if not ranks:
+        return {}
+    columns = [F.col(f"`{n}`") for n in by]
+    rows = (df.filter(F.col(group).isin(list(ranks)))
+            .select(F.col(group).alias("_g"), *columns,
+                    (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w")))
+    if rows.count() > limit:
+        return {g: select_ranks(df.filter(F.col(group) == g), by, wanted, weight, limit)
+                for g, wanted in ranks.items()}
+    keyed = rows.groupBy("_g", *columns).agg(F.sum("_w").alias("_equal"),
+                                             F.count("*").alias("_groups"))
+    order = W.partitionBy("_g").orderBy(*columns).rowsBetween(W.unboundedPreceding, 0)
+    keyed = keyed.withColumn("_upto", F.sum("_equal").over(order))
+    hit = F.lit(False)
+    for g, wanted in ranks.items():
+        for rank in set(wanted):
+            hit = hit | ((F.col("_g") == g) & (F.col("_upto") >= rank)
+                         & (F.col("_upto") - F.col("_equal") < rank))
+    found = keyed.filter(hit).collect()   # at most one row per wanted rank
+    out = {}
+    for g, wanted in ranks.items():
+        mine = [r for r in found if r["_g"] == g]
+        out[g] = []
+        for rank in wanted:
+            row = next(r for r in mine if r["_upto"] - r["_equal"] < rank <= r["_upto"])
+            out[g].append({"key": tuple(row[n] for n in by), "before": row["_upto"] - row["_equal"],
+                           "equal": row["_equal"], "groups": row["_groups"]})
+    return out
+
+
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]],
                     limit: int = SMALL) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns, nulls left out.
 
-    `count` may be passed when the caller knows the number of (non-null) rows.
+    Two narrow scans and no shuffle of the data: a quantile sketch brackets each
+    quantile, then the values inside the brackets are counted exactly, together
+    with the number of rows below.  A quantile that the sketch failed to bracket
+    is searched for in the whole column, so the result is always exact.
     """
-    if count is None:
-        sizes = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in wanted]).first().asDict()
-    else:
-        sizes = {c: count for c in wanted}
-    out: dict[str, list[float | None]] = {}
-    for column, shares in wanted.items():
-        n = sizes[column]
-        if n == 0:
-            out[column] = [None] * len(shares)
+    asked = [(c, share) for c, shares in wanted.items() for share in shares]
+    margin = 3.0 / SKETCH
+    sketch = df.agg(
+        *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(wanted)],
+        *[F.percentile_approx(F.col(f"`{c}`").cast("double"),
+                              [max(0.0, p - margin), min(1.0, p + margin)], SKETCH).alias(f"q{i}")
+          for i, (c, p) in enumerate(asked)]).first()
+    sizes = {c: sketch[f"n{i}"] for i, c in enumerate(wanted)}
+    brackets = {i: sketch[f"q{i}"] for i, (c, _) in enumerate(asked) if sizes[c]}
+    if not brackets:
+        return {c: [None] * len(shares) for c, shares in wanted.items()}
+    # Per bracket: the values inside it, and one null entry for all rows below.
+    entries = []
+    for i, (low, high) in brackets.items():
+        value = F.col(f"`{asked[i][0]}`").cast("double")
+        entries.append(F.when(value <= high, F.struct(
+            F.lit(str(i)).alias("name"), F.when(value >= low, value).alias("v"))))
+    counted = materialize(
+        df.select(F.explode(F.array_compact(F.array(*entries))).alias("_e")).select("_e.*")
+        .groupBy("name", "v").agg(F.count("*").alias("n")), "brackets")
+    below = {r["name"]: r["n"] for r in counted.filter("v is null").collect()}
+    inside = {r["name"]: r["n"] for r in counted.filter("v is not null").groupBy("name")
+              .agg(F.sum("n").alias("n")).collect()}
+    ranks, whole = {}, {}
+    for i in brackets:
+        column, share = asked[i]
+        place = share * (sizes[column] - 1)
+        pair = [math.floor(place) + 1, min(math.floor(place) + 2, sizes[column])]
+        first = below.get(str(i), 0)
+        if first < pair[0] and pair[1] <= first + inside.get(str(i), 0):
+            ranks[str(i)] = [r - first for r in pair]
+        else:
+            whole[i] = pair
+    found = {int(name): [hit["key"][0] for hit in hits] for name, hits in select_ranks_by(
+        counted.filter("v is not null"), "name", ["v"], ranks, "n", limit).items()}
+    for i, pair in whole.items():
+        values = (df.select(F.col(f"`{asked[i][0]}`").cast("double").alias("v"))
+                  .filter("v is not null").groupBy("v").agg(F.count("*").alias("n")))
+        found[i] = [hit["key"][0] for hit in
+                    select_ranks(materialize(values, "values"), ["v"], pair, "n", limit)]
+    out: dict[str, list[float | None]] = {c: [] for c in wanted}
+    for i, (column, share) in enumerate(asked):
+        if i not in found:
+            out[column].append(None)
             continue
-        places = [share * (n - 1) for share in shares]
-        ranks = [r for p in places for r in (math.floor(p) + 1, min(math.floor(p) + 2, n))]
-        values = df.select(F.col(f"`{column}`").cast("double").alias("v")).filter("v is not null")
-        # Equal values are merged first, so the order holds distinct values only.
-        merged = values.groupBy("v").agg(F.count("*").alias("n"))
-        found = [f["key"][0] for f in select_ranks(merged, ["v"], ranks, "n", limit)]
-        out[column] = [found[2 * i] + (found[2 * i + 1] - found[2 * i]) * (p - math.floor(p))
-                       for i, p in enumerate(places)]
+        place = share * (sizes[column] - 1)
+        low, high = found[i]
+        out[column].append(low + (high - low) * (place - math.floor(place)))
     return out
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.scalars import elapsed_days, exact_avg, exact_sum
 from ..schema import ROW_ORDER
 from ..session import materialize
+from .calendar import fill_calendar
 from .joins import attach
 from .ranking import SMALL, exact_quantiles, running_totals
 
@@ -35,15 +36,6 @@ def customer_features(lines: DataFrame) -> DataFrame:
     }).drop("invoices", "first_purchase", "last_purchase")
 
 
-def fill_calendar(daily: DataFrame, day: str, value: str, keys: list[str] | None = None) -> DataFrame:
-    """Every day from first to last of each series; missing days hold 0."""
-    keys = keys or []
-    span = daily.groupBy(*keys).agg(F.min(day).alias("_a"), F.max(day).alias("_b"))
-    calendar = (span.filter("_a is not null").select(*keys, F.explode(F.sequence("_a", "_b")).alias(day)))
-    return (calendar.join(daily.select(*keys, day, value), [*keys, day], "left")
-            .withColumn(value, F.coalesce(value, F.lit(0.0))))
-
-
 def daily_features(daily: DataFrame) -> DataFrame:
     """Rolling sums and zero-filled lags on the gap-filled daily series."""
     filled = fill_calendar(daily, "sales_date", "daily_sales")

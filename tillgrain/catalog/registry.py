@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import base_queries, report_queries
+from . import base_queries, model_queries, report_queries, stream_queries
 from .data import prepare
 from .spec import Query
 
-_PARTS = [base_queries, report_queries]
+_PARTS = [base_queries, report_queries, model_queries, stream_queries]
 
 
 def _all() -> dict[str, Query]:

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 
+# Executors need not have this package: its functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def leaf_rules(model) -> list[tuple[float, list[tuple[int, float, float, float]]]]:
     """Every leaf of the ensemble as its value and one condition per feature on its path.
@@ -21,7 +26,8 @@ def leaf_rules(model) -> list[tuple[float, list[tuple[int, float, float, float]]
     spark = SparkSession.active()
     path = scratch_path(spark, "trees")
     model.write().save(path)
-    weights = {r["treeID"]: r["weights"] for r in spark.read.parquet(f"{path}/treesMetadata").collect()}
+    # Stored trees: (tree, metadata, weight) rows, and one row per node.
+    weights = {r[0]: r[2] for r in spark.read.parquet(f"{path}/treesMetadata").collect()}
     trees: dict[int, dict] = {}
     for row in spark.read.parquet(f"{path}/data").collect():
         trees.setdefault(row["treeID"], {})[row["nodeData"]["id"]] = row["nodeData"]

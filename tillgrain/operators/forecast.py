@@ -7,8 +7,11 @@ over the cluster.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -23,6 +26,9 @@ LAGS = (1, 7, 14)
 LAG_FEATURES = ["lag_1", "lag_7", "lag_14", "rolling_7", "rolling_30", "day_of_week", "month"]
 ALL = "all"
 
+# Executors need not have this package: its functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 # ---- frames --------------------------------------------------------------------
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tillgrain.operators import attribution, churn, dbscan, drift, evaluate, forecast as fc, segment as sg
+from tillgrain.operators import attribution, churn, dbscan, drift, evaluate, forecast as fc, joins, segment as sg
 from tillgrain.operators.components import connected_components
 from tillgrain.schema import CHURN_FEATURES, Settings
 from tillgrain.session import materialize
@@ -40,6 +40,7 @@ def brute_dbscan(x, eps, least):
 @pytest.mark.parametrize("direct", [dbscan.DIRECT_PAIRS, 0])
 def test_dbscan_matches_brute_force(spark, monkeypatch, direct):
     monkeypatch.setattr(dbscan, "SLOT_ROWS", 40)     # several slots per full cell
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0 if direct else joins.BROADCAST_ROWS)
     x = np.round(np.concatenate([rng.normal(size=(150, 3)) * 2, rng.normal(size=(150, 3)) * 0.2 + 3,
                                  np.zeros((60, 3))]), 6)
     pdf = pd.DataFrame(x, columns=["a", "b", "c"])

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tillgrain.operators import ranking as rk
+from tillgrain.operators import joins, ranking as rk
 from tillgrain.operators.joins import attach
 from tillgrain.session import materialize
 
@@ -74,7 +74,9 @@ def test_rank_at_most(spark):
     assert df.filter(rk.rank_at_most(df, ["v", "k"], 0)).count() == 0
 
 
-def test_attach_keeps_hot_null_and_unknown_keys(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, 50_000])
+def test_attach_keeps_hot_null_and_unknown_keys(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", broadcast_rows)
     rows = spark.range(3000).withColumn("key", F.when(F.col("id") % 3 == 0, "hot").when(
         F.col("id") % 50 == 1, F.lit(None).cast("string")).otherwise(F.concat(F.lit("k"), F.col("id") % 1500)))
     lookup = materialize(rows.filter("key is not null and key <> 'k7'").groupBy("key").agg(

@@ -309,10 +309,21 @@ FEATURE_COLUMNS = [
 ]
 
 
+# Columns that are equal on all lines of a customer, so any line shows the first value.
+CUSTOMER_COLUMNS = ["CustomerLifetimeValue", "AvgOrderValue", "PurchaseFrequency",
+                    "DaysSinceLastPurchase", "CustomerSegment", "ChurnFlag"]
+
+
+def first_values(key: str, columns: list[str], order: list[str] = ROW_ORDER) -> list[Column]:
+    """Aggregates for the first non-null value of each column, in row order."""
+    position = F.struct(*[F.col(f"`{c}`") for c in order])
+    constant = CUSTOMER_COLUMNS if key == "Customer ID" else []
+    return [F.max(c).alias(c) if c in constant else
+            F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), position)).alias(c)
+            for c in columns]
+
+
 def first_per_key(df: DataFrame, key: str, columns: list[str],
                   order: list[str] = ROW_ORDER) -> DataFrame:
     """First non-null value of each column per key, in row order."""
-    position = F.struct(*[F.col(f"`{c}`") for c in order])
-    return df.groupBy(F.col(f"`{key}`")).agg(*[
-        F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), position)).alias(c)
-        for c in columns])
+    return df.groupBy(F.col(f"`{key}`")).agg(*first_values(key, columns, order))

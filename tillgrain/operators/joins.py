@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 HOT_SHARE = 500      # a key is hot when it holds more than 1/500 of the rows
 SPREAD = 4096        # slots over which the rows of hot keys are spread
+BROADCAST_ROWS = 50_000   # lookups up to this (counted) size are broadcast whole
 
 
 def attach(rows: DataFrame, lookup: DataFrame, key: str, weight: str) -> DataFrame:
     """Left join of per-key columns onto rows, safe against hot keys.
 
     `lookup` is a stored table with one row per `key`; `weight` is its column with
-    the number of rows of that key.  Fewer than `HOT_SHARE` keys can hold more than
+    the number of rows of that key.  A lookup of few rows is counted and broadcast.
+    Beyond that, fewer than `HOT_SHARE` keys can hold more than
     1/HOT_SHARE of the rows, so the hot part is broadcast whatever the data size.
     All other rows meet their key in an ordinary equi-join, where the rows of hot
     keys carry a spread slot and are shuffled evenly.
     """
     payload = [c for c in lookup.columns if c not in (key, weight)]
+    if lookup.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup.drop(weight)), key, "left").select(
+            *[F.col(f"`{c}`") for c in [*rows.columns, *payload]])
     total = lookup.agg(F.sum(weight).alias("t")).scalar()
     is_hot = F.col(weight) * HOT_SHARE > total
     hot = lookup.filter(is_hot).select(

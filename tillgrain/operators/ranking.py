@@ -21,6 +21,7 @@ from ..session import materialize
 from .joins import attach
 
 SMALL = 1_000_000     # distinct keys one task may order
+SMALL_ROWS = 100_000  # whole rows one task may order
 SPLITTERS = 24        # range boundaries per selection round
 SAMPLE_ROWS = 5_000   # sampled keys from which boundaries are taken
 SKETCH = 10_000       # accuracy of the quantile sketch: rank error n / SKETCH
@@ -324,5 +325,5 @@ def rank_at_most(df: DataFrame, by: list[str], count: int, limit: int = SMALL) -
     """
     if count <= 0:
         return F.lit(False)
-    cut = select_ranks(df, by, [count], limit=limit)[0]
+    cut = select_ranks(df, by, [count], limit=min(limit, SMALL_ROWS))[0]
     return _key(by) <= _literal_key(df, by, cut["key"])

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import available, exact_avg, exact_sum
-from ..schema import CORRELATION_FEATURES, ROW_ORDER
-from .features import first_per_key
+from ..schema import CORRELATION_FEATURES
+from .features import first_per_key, first_values
 from .ranking import exact_quantiles
 
 
@@ -102,9 +102,8 @@ def customer_report(features: DataFrame) -> DataFrame:
     """One row per customer with its first feature values, totals and snapshot date."""
     first = ["CustomerLifetimeValue", "AvgOrderValue", "PurchaseFrequency",
              "DaysSinceLastPurchase", "Country", "CustomerSegment", "ChurnFlag"]
-    position = F.struct(*[F.col(f"`{c}`") for c in ROW_ORDER])
     return features.groupBy("Customer ID").agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in first],
+        *first_values("Customer ID", first),
         F.countDistinct("Invoice").alias("Orders"), exact_sum("Quantity").alias("Quantity"),
         exact_sum("TotalAmount").alias("Revenue"), F.max("InvoiceDate").alias("LastPurchase"),
     ).withColumn("SnapshotDate", features.agg(F.max("InvoiceDate")).scalar())

@@ -11,9 +11,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.scalars import elapsed_days, exact_avg, exact_sum
-from ..schema import ROW_ORDER
 from ..session import materialize
 from .calendar import fill_calendar
+from .features import first_per_key
 from .joins import attach
 from .ranking import SMALL, exact_quantiles, running_totals
 
@@ -106,8 +106,8 @@ def dashboard_features(lines: DataFrame) -> DataFrame:
     daily = lines.groupBy("sales_date").agg(exact_sum("TotalAmount").alias("daily_sales"))
     out = lines.join(materialize(daily_features(daily), "variant-daily"), "sales_date", "left")
     out = out.join(F.broadcast(seasonal_index(lines)), "InvoiceMonth", "left")   # twelve rows
-    out = attach(out, country_dense_rank(lines).select("Country", "n_lines", "CountrySalesRank"),
-                 "Country", "n_lines")
+    ranks = country_dense_rank(lines).select("Country", "n_lines", "CountrySalesRank")
+    out = attach(out, materialize(ranks, "variant-countries"), "Country", "n_lines")
     out = attach(out, materialize(segmented, "variant-segments"), "Customer ID", "n_lines")
     return attach(out, materialize(sku_spread_risk(lines), "variant-risk"), "StockCode", "n_lines")
 
@@ -135,8 +135,8 @@ def segment_codes(features: DataFrame) -> DataFrame:
 
     Customers stand in the order of their id, as in a grouped table.
     """
-    first = features.groupBy("Customer ID").agg(
-        F.min_by("CustomerSegment", F.struct(*[F.col(f"`{c}`") for c in ROW_ORDER])).alias("SegmentLabel"))
+    first = first_per_key(features, "Customer ID", ["CustomerSegment"]).withColumnRenamed(
+        "CustomerSegment", "SegmentLabel")
     labels = first.groupBy("SegmentLabel").agg(F.min("Customer ID").alias("first_customer"))
     # One row per label.
     return labels.withColumn("code", F.row_number().over(W.orderBy("first_customer")) - 1)

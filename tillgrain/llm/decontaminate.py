@@ -14,11 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import parts_for
+from ..session import materialize
+from .common import hinted, parts_for
 
 MASKS = ("1110111", "11011011", "1101010111")
 LEAST_WORDS, LEAST_SHARE = 8, 0.5
-BLOCK = 40_000        # item seeds that are broadcast at once, each with its item's words
+BLOCK = 200_000       # item seeds that are broadcast at once
 
 
 def word_hashes(text: Column) -> Column:
@@ -34,7 +35,7 @@ def seeds(rows: DataFrame, masks: list[str], keep: list[str]) -> DataFrame:
         chosen = [F.get("h", at + j) for j, bit in enumerate(mask) if bit == "1"]
         made.append(F.when(at + len(mask) <= F.size("h"), F.xxhash64(F.lit(k), *chosen)))
     spread = rows.select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
-    return spread.select(*keep, "h", "at", F.explode(F.array(*made)).alias("seed")).filter(
+    return spread.select(*keep, "at", F.explode(F.array(*made)).alias("seed")).filter(
         "seed is not null")
 
 
@@ -47,32 +48,40 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     them (or all that it has).  Of several places the best one is returned; rows that
     repeat an id are one document.
     """
-    spark = docs.sparkSession
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("g")).filter(F.size("g") > 0)
     short = [r[0] for r in items.filter(F.size("g") < max(map(len, MASKS))).select(
         F.size("g")).distinct().collect()]                      # at most as many as a mask is long
     masks = [*MASKS, *("1" * n for n in sorted(short))]
     wanted = seeds(items.withColumnRenamed("g", "h"), masks, ["item_id"]).select(
-        "item_id", F.col("h").alias("g"), F.col("at").alias("item_at"), "seed").dropDuplicates(
-        ["item_id", "seed", "item_at"])
-    blocks = parts_for(wanted.count(), block)
+        "item_id", F.col("at").alias("item_at"), "seed").distinct()
+    seed_count = wanted.count()
+    blocks = parts_for(seed_count, block)
     words = docs.select("doc_id", word_hashes(F.col("text")).alias("h")).filter(F.size("h") > 0)
-    windows = seeds(words, masks, ["doc_id"])
-    shift = F.col("at") - F.col("item_at")
-    same = F.size(F.filter(F.sequence(F.lit(0), F.size("g") - 1),
-                           lambda q: F.coalesce(F.when(shift + q >= 0, F.get("h", shift + q))
-                                                == F.get("g", q), F.lit(False))))
+    windows = seeds(words, masks, ["doc_id"]).select("doc_id", "at", "seed")
     found = None
     for k in range(blocks):
         some = wanted.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
         hits = windows.join(F.broadcast(some), "seed").select(
-            "doc_id", "item_id", same.alias("matched"), F.size("g").alias("item_words"),
-            F.greatest(shift, F.lit(0)).alias("start")).filter(
-            (F.col("matched") >= F.least(F.lit(least_words), F.col("item_words")))
-            & (F.col("matched") >= least_share * F.col("item_words"))).groupBy("doc_id", "item_id").agg(
-            F.max(F.struct("matched", (-F.col("start")).alias("back"), "item_words")).alias("best"))
+            "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
         found = hits if found is None else found.unionAll(hits)
-    return found.select("doc_id", "item_id", F.col("best.matched").cast("long").alias("matched"),
-                        F.col("best.item_words").cast("long").alias("item_words"),
-                        (F.col("best.matched") / F.col("best.item_words")).alias("share"),
-                        (-F.col("best.back")).cast("long").alias("start"))
+    found = materialize(found, "hits")
+
+    # Only documents with hits are read again, and laid against the items.
+    ids = found.select("doc_id").distinct()
+    hit_docs = docs.select("doc_id", "text").join(hinted(ids, ids.count()), "doc_id", "left_semi").select(
+        "doc_id", word_hashes(F.col("text")).alias("h"))
+    laid = hit_docs.join(found, "doc_id").join(hinted(items, seed_count), "item_id")
+    shift = F.col("shift")
+    same = F.size(F.filter(F.sequence(F.lit(0), F.size("g") - 1),
+                           lambda q: F.coalesce(F.when(shift + q >= 0, F.get("h", shift + q))
+                                                == F.get("g", q), F.lit(False))))
+    return laid.select(
+        "doc_id", "item_id", same.alias("matched"), F.size("g").alias("item_words"),
+        F.greatest(shift, F.lit(0)).alias("start")).filter(
+        (F.col("matched") >= F.least(F.lit(least_words), F.col("item_words")))
+        & (F.col("matched") >= least_share * F.col("item_words"))).groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("matched", (-F.col("start")).alias("back"), "item_words")).alias("best")).select(
+        "doc_id", "item_id", F.col("best.matched").cast("long").alias("matched"),
+        F.col("best.item_words").cast("long").alias("item_words"),
+        (F.col("best.matched") / F.col("best.item_words")).alias("share"),
+        (-F.col("best.back")).cast("long").alias("start"))

@@ -84,17 +84,19 @@ def delete(fingerprint: Column, lines: Column) -> Column:
     return encode(F.zip_with(decode(fingerprint), decode(lines), lambda a, b: a - b))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"),
-                       lambda s, x: s + x).cast("double")
+def _alike(equal: Column, a: Column, b: Column) -> Column:
+    """Estimated share of common blocks from two arrays of sign lanes."""
+    def dot(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0),
+                           lambda total, part: total + part)
+    size = dot(a, a) + dot(b, b)
+    share = F.when(size > 0, 2 * dot(a, b) / size).otherwise(F.lit(0.0))
+    return F.when(equal, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated share (0 to 1) of common blocks of two fingerprints; equal ones give 1."""
-    x, y = signs_of(a), signs_of(b)
-    size = _dot(x, x) + _dot(y, y)
-    share = F.when(size > 0, 2 * _dot(x, y) / size).otherwise(F.lit(0.0))
-    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
+    return _alike(a == b, signs_of(a), signs_of(b))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -122,20 +124,20 @@ def _order(rows: DataFrame) -> DataFrame:
     ids = materialize(rows.groupBy("doc_id", "hash").agg(F.max("n_chars").alias("n_chars"))
                       .repartitionByRange("doc_id", "hash").select(
         F.spark_partition_id().alias("part"), place.alias("place"),
-        F.struct(_key().alias("key"), "n_chars").alias("item")), "ids")
+        F.struct(_key().alias("key"), "n_chars").alias("item"), "doc_id"), "ids")
     inside = Window.partitionBy("part").orderBy("place")
     across = Window.orderBy("edge_part")           # one row per range
     edges = ids.groupBy(F.col("part").alias("edge_part")).agg(
         F.min_by("item", "place").alias("head"), F.max_by("item", "place").alias("tail")).select(
         "edge_part", F.lead("head").over(across).alias("after"), F.lag("tail").over(across).alias("before"))
     ends = ids.agg(F.min_by("item", "place").alias("lowest"), F.max_by("item", "place").alias("highest"))
-    return ids.select("part", F.col("item.key").alias("key"),
+    return ids.select("part", F.col("item.key").alias("key"), "doc_id",
                       F.lead("item").over(inside).alias("after_inside"),
                       F.lag("item").over(inside).alias("before_inside")).join(
         F.broadcast(edges), F.col("part") == F.col("edge_part")).crossJoin(F.broadcast(ends)).select(
-        "key", F.coalesce("after_inside", "after", "lowest").alias("next"),
+        "key", "doc_id", F.coalesce("after_inside", "after", "lowest").alias("next"),
         F.coalesce("before_inside", "before", "highest").alias("last")).select(
-        "key", F.col("next.key").alias("next_key"), F.col("last.key").alias("last_key"),
+        "key", "doc_id", F.col("next.key").alias("next_key"), F.col("last.key").alias("last_key"),
         F.expr("last.n_chars div 4").alias("last_quarter"))
 
 
@@ -151,17 +153,19 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     after it are summed for either.  Returns (doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next).
     """
-    rows = texts(docs).select("doc_id", "text", F.length("text").cast("long").alias("n_chars"),
-                              F.xxhash64("text").alias("hash"))
-    order = materialize(_order(rows.select("doc_id", "hash", "n_chars")), "order")
-    placed = rows.select(_key().alias("key"), "doc_id", "n_chars", "text",
-                         F.monotonically_increasing_id().alias("row")).join(order, "key")
+    rows = texts(docs).withColumn("hash", F.xxhash64("text"))
+    order = materialize(_order(rows.select("doc_id", "hash", F.length("text").cast("long").alias("n_chars"))),
+                        "order")
+    # Both uses shuffle the same two columns, so the texts are shuffled once.
+    placed = rows.select(_key().alias("key"), "text").join(order, "key")
     heads = placed.select(F.col("last_key").alias("key"),
                           F.expr("left(text, last_quarter)").alias("head")).groupBy("key").agg(
         F.first("head").alias("head"))
     keep = ["key", "row", "doc_id", "n_chars", "next_key", "edited_sha256"]
     kept = F.expr("left(text, n_chars - n_chars div 4)")
-    cut = placed.join(heads, "key").withColumn("kept", kept).withColumn(
+    cut = placed.join(heads, "key").withColumns({
+        "row": F.monotonically_increasing_id(), "n_chars": F.length("text").cast("long")}).withColumn(
+        "kept", kept).withColumn(
         "open", F.substring_index("kept", "\n", -1)).withColumn(
         "common", F.expr("length(kept) - length(open)")).select(
         "key", "row", "doc_id", "n_chars", "next_key", F.sha2(F.concat("kept", "head"), 256).alias("edited_sha256"),
@@ -179,13 +183,19 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         return F.aggregate(mine, F.array_repeat(F.lit(0).cast("long"), STRONG + SIGNS),
                            lambda s, v: F.zip_with(s, v["lanes"], lambda a, b: a + b))
 
+    def signs(lanes: Column) -> Column:
+        return F.slice(lanes, STRONG + 1, SIGNS).cast("array<int>")
+
     done = materialize(sides.groupBy(*keep).agg(F.collect_list("vector").alias("vectors")).select(
-        *keep, encode(total(F.col("vectors"), 2)).alias("fingerprint"),
-        encode(total(F.col("vectors"), 1)).alias("edited_fingerprint")), "fingerprints")
+        *keep, total(F.col("vectors"), 2).alias("lanes"), total(F.col("vectors"), 1).alias("edited")).select(
+        *keep, encode(F.col("lanes")).alias("fingerprint"), encode(F.col("edited")).alias("edited_fingerprint"),
+        signs(F.col("lanes")).alias("signs"), signs(F.col("edited")).alias("edited_signs")).select(
+        *keep, "fingerprint", "edited_fingerprint", "signs", _alike(
+            F.col("fingerprint") == F.col("edited_fingerprint"), F.col("signs"),
+            F.col("edited_signs")).alias("near_edited")), "fingerprints")
     following = done.groupBy(F.col("key").alias("next_key")).agg(
-        F.max("fingerprint").alias("next_fingerprint"))
+        F.max(F.struct("fingerprint", "signs")).alias("next"))
     return done.join(following, "next_key").select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
+        _alike(F.col("fingerprint") == F.col("next.fingerprint"), F.col("signs"),
+               F.col("next.signs")).alias("near_next"))

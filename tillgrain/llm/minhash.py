@@ -6,9 +6,9 @@ lowest two bits are kept in a signature of 256 bits, whose equal pairs estimate
 similarity, corrected for chance matches.
 
 Documents with equal sets form one class and go on as its smallest id.  Classes that share a
-band are candidates: first each with the band's smallest member, then, where a band still
-holds several components, each member outside the band's main component with all members
-of other components.  A pair whose estimate is too low is dropped, all others are confirmed
+band are candidates: first each with the one smallest member that it shares most bands with,
+then, where a band holds several components, each member outside the band's main component with all members of other
+components; pairs that are connected already are left out.  A pair whose estimate is too low is dropped, all others are confirmed
 on the full sets.  So a large group of near copies is linked by a star, not by all its pairs.
 A pair at the threshold shares no band with a chance below 1e-5.
 
@@ -33,7 +33,7 @@ SHINGLE = 5
 HASHES, ROWS = 128, 4           # 32 bands of 4
 BITS = 2
 ACROSS = (3, 4)                 # similarity of at least 3/4
-ESTIMATE = 0.5                  # more than five standard errors below the threshold
+ESTIMATE = 0.55                 # more than four standard errors below the threshold
 SLOT = 5000                     # members of a band that meet its stragglers in one task
 PIVOT_SLOT = 200                # members that a pivot's text is joined to at once
 
@@ -188,20 +188,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("rep").alias("pivot"), F.count("*").alias("size"), F.count("*").alias("n")).filter(
         "size > 1"), "bands")
     placed = materialize(attach(spread, shared, "band", "n").filter("pivot is not null"), "placed")
-    sketches = materialize(heads.select("doc_id", *signs), "sketches")
-
-    stars = materialize(placed.filter("rep <> pivot").select(
-        F.col("rep").alias("member"), "pivot").distinct(), "stars")
-    by_pivot = materialize(stars.groupBy("pivot").agg(F.count("*").alias("n")).join(
-        sketches.withColumnRenamed("doc_id", "pivot"), "pivot").select(
-        "pivot", "n", F.struct(*signs).alias("b")), "pivots")
-    close = attach(stars.join(sketches.select(F.col("doc_id").alias("member"), F.struct(*signs).alias("a")),
-                              "member"), by_pivot, "pivot", "n").filter(
-        estimate("a", "b") >= ESTIMATE).select("member", "pivot")
-    links = confirmed(close, known)
+    sketches = materialize(heads.select("doc_id", F.struct("n_shingles", *signs).alias("s")), "sketches")
+
+    # A star per group: each class with the pivot it shares most bands with.
+    stars = materialize(placed.filter("rep <> pivot").groupBy(F.col("rep").alias("member"), "pivot").agg(
+        F.count("*").alias("bands")), "stars")
+    best = stars.groupBy("member").agg(F.max(F.struct("bands", (-F.col("pivot")).alias("low"))).alias("top")) \
+        .select("member", (-F.col("top.low")).alias("pivot"))
+    links = confirmed(_promising(best, sketches), known)
     components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
-
-    more = _stragglers(placed, components, sketches, signs)
+    # Then all others of a band, where components still differ.
+    more = materialize(_stragglers(heads, components, signs), "more")
     if not more.isEmpty():
         links = links.unionAll(confirmed(more, known))
         components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
@@ -225,28 +222,41 @@ def _lonely(frames):
                             "component_id": pd.array([None] * len(frame), "Int64"), "kept": True})
 
 
-def _stragglers(placed: DataFrame, components: DataFrame, sketches: DataFrame,
-                signs: list[str]) -> DataFrame:
-    """Pairs within a band, but of different components, that the stars have not compared."""
-    rows = materialize(placed.filter("size > 2").join(
-        components.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "band", "pivot", "rep", F.coalesce("component", "rep").alias("part")), "parted")
-    counts = rows.groupBy("band", "part").agg(F.count("*").alias("n"))
-    main = materialize(counts.groupBy("band").agg(
+def _promising(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs of similar signatures and sizes."""
+    by_pivot = materialize(pairs.groupBy("pivot").agg(F.count("*").alias("n")).join(
+        sketches.select(F.col("doc_id").alias("pivot"), F.col("s").alias("b")), "pivot"), "pivots")
+    return attach(pairs.join(sketches.select(F.col("doc_id").alias("member"), F.col("s").alias("a")), "member"),
+                  by_pivot, "pivot", "n").filter(_similar("a", "b")).select("member", "pivot")
+
+
+def _similar(a: str, b: str) -> Column:
+    """Whether the sizes allow the threshold and the estimate does not exclude it."""
+    m, n = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    return (ACROSS[1] * F.least(m, n) >= ACROSS[0] * F.greatest(m, n)) & (estimate(a, b) >= ESTIMATE)
+
+
+def _stragglers(heads: DataFrame, components: DataFrame, signs: list[str]) -> DataFrame:
+    """Pairs within a band, but of different components, that are similar enough by signature.
+
+    A band's main component is not compared with itself: only its other members meet all,
+    and those by slots of bounded size.
+    """
+    named = heads.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        F.col("doc_id").alias("rep"), F.coalesce("component", "doc_id").alias("part"),
+        F.struct("n_shingles", *signs).alias("s"), "bands")
+    rows = materialize(named.withColumn("band", F.explode("bands")).drop("bands"), "parted")
+    main = materialize(rows.groupBy("band", "part").agg(F.count("*").alias("n")).groupBy("band").agg(
         F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("size"), F.count("*").alias("parts"))
         .filter("parts > 1").select("band", F.col("top.part").alias("main"), "size",
                                     F.ceil(F.col("size") / SLOT).alias("slots")), "main")
-    open_rows = attach(rows, main, "band", "size").filter("main is not null")
-    sketched = materialize(open_rows.join(sketches.select(
-        F.col("doc_id").alias("rep"), F.struct(*signs).alias("s")), "rep"), "open")
+    sketched = materialize(attach(rows, main, "band", "size").filter("main is not null"), "open")
     left = sketched.filter("part <> main").withColumn(
         "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))).alias("l")
     right = sketched.withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots"))).alias("r")
     apart = (F.col("l.band") == F.col("r.band")) & (F.col("l.slot") == F.col("r.slot")) \
         & (F.col("l.part") != F.col("r.part")) \
         & ((F.col("r.part") == F.col("r.main")) | (F.col("l.rep") < F.col("r.rep"))) \
-        & (F.col("l.rep") != F.col("l.pivot")) & (F.col("r.rep") != F.col("l.pivot")) \
-        & (estimate("l.s", "r.s") >= ESTIMATE)
-    return materialize(left.join(right, apart).select(
-        F.greatest("l.rep", "r.rep").alias("member"), F.least("l.rep", "r.rep").alias("pivot")).distinct(),
-        "more")
+        & _similar("l.s", "r.s")
+    return left.join(right, apart).select(
+        F.greatest("l.rep", "r.rep").alias("member"), F.least("l.rep", "r.rep").alias("pivot")).distinct()

@@ -101,3 +101,14 @@ def test_single_line_product(spark):
     by = {r["StockCode"]: r for r in rows}
     assert by["S1"]["demand_std"] == pytest.approx(0.6)
     assert by["S1"]["forecast_demand"] == 2.0
+
+
+def test_days_of_1e15_do_not_overflow(spark):
+    from tillgrain.operators.features import with_daily_features
+    from tillgrain.operators.variants import seasonal_index
+
+    days = spark.sql("select date'2021-01-01' + cast(id as int) sales_date, 1e15 + id daily_sales from range(9)")
+    last = with_daily_features(days).orderBy("sales_date").collect()[-1]
+    assert last["Rolling7DaySales"] == 1e15 + 5
+    lines = spark.sql("select cast(id % 2 as int) + 1 InvoiceMonth, 9e11 TotalAmount from range(4000)")
+    assert {r["SeasonalIndex"] for r in seasonal_index(lines).collect()} == {1.0}

@@ -166,3 +166,14 @@ def test_drift(spark):
     assert scores["Price"]["drifted"] and scores["Price"]["distance"] == pytest.approx(3 / 2.0, rel=0.01)
     alert = drift.drift_alert(drift.drift_scores(same, moved)).first()
     assert alert["drift_share"] == 0.5 and alert["alert"]
+
+
+def test_models_without_predictions_get_no_weight(spark):
+    from tillgrain.operators.forecast import blend, ensemble_weights
+
+    errors = spark.createDataFrame([("s", "a", 10.0), ("s", "b", None)], "series string, model string, mape double")
+    weights = ensemble_weights(errors)
+    assert [(r["model"], r["weight"]) for r in weights.collect()] == [("a", 1.0)]
+    predictions = spark.createDataFrame([("s", "2021-01-01", "a", 100.0)],
+                                        "series string, ds string, model string, yhat double")
+    assert blend(predictions, weights).first()["yhat"] == 100.0

@@ -53,3 +53,24 @@ def test_metrics_and_limited_read(spark):
     assert store.read_metrics(spark, [path + "-absent"]).count() == 0
     rows = store.first_rows(spark.range(10), [F.desc("id")], 3).collect()
     assert [(r["id"], r["count"]) for r in rows] == [(9, 3), (8, 3), (7, 3)]
+
+
+def test_quotes_newlines_and_fractions_survive_the_round_trip(spark):
+    from pyspark.sql import types as T
+
+    row = dict(RAW, Description='12" PLATE, "RED"\nsecond line', InvoiceDate="2021-01-15 10:00:00.123")
+    typed = coerce_types(ingest.require_columns(ingest.normalize_columns(
+        spark.createDataFrame([tuple(row.values())], list(row)))))
+    assert isinstance(typed.schema["InvoiceDate"].dataType, T.TimestampType)
+    path = scratch_path(spark, "csv")
+    store.write_csv(typed, path)
+    again = coerce_types(ingest.read_csv(spark, path))
+    assert again.collect() == typed.collect()
+    assert again.first()["Description"] == row["Description"]
+
+
+def test_iso_zones_are_read_and_java_numbers_are_not(spark):
+    row = dict(RAW, InvoiceDate="2021-01-15T10:00:00Z", Quantity="5d")
+    typed = coerce_types(ingest.require_columns(ingest.normalize_columns(
+        spark.createDataFrame([tuple(row.values())], list(row))))).first()
+    assert str(typed["InvoiceDate"]) == "2021-01-15 10:00:00" and typed["Quantity"] is None

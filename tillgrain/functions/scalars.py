@@ -18,21 +18,23 @@ CATEGORY_RULES = [
 ]
 
 MICROS_PER_DAY = 86_400_000_000
+MONEY = "decimal(18,6)"        # one line's amount
+TOTAL = "decimal(32,6)"        # an amount that is a sum already
 
 
-def exact_sum(col: Column | str) -> Column:
+def exact_sum(col: Column | str, kind: str = MONEY) -> Column:
     """Sum of a double column that does not depend on row order.
 
     Doubles are added as decimals (six places), so the same rows give the same
-    total under any partitioning or after a retried task.
+    total under any partitioning or after a retried task.  Sums of sums ask for `TOTAL`.
     """
     col = F.col(col) if isinstance(col, str) else col
-    return F.sum(col.cast("decimal(18,6)")).cast("double")
+    return F.sum(col.cast(kind)).cast("double")
 
 
-def exact_avg(col: Column | str) -> Column:
+def exact_avg(col: Column | str, kind: str = MONEY) -> Column:
     """Mean on top of `exact_sum`; nulls are skipped."""
-    return exact_sum(col) / F.count(col)
+    return exact_sum(col, kind) / F.count(col)
 
 
 def line_amount() -> Column:

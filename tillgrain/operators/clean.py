@@ -23,13 +23,17 @@ def coerce_types(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
     def number(name):
         value = F.col(name).try_cast("double")
+        if isinstance(types[name], T.StringType):     # "5d" is a Java number, but no number here
+            value = F.when(F.trim(name).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), value)
         return F.when(~F.isnan(value), value)
 
     def stamp(name):
         if isinstance(types[name], (T.TimestampType, T.TimestampNTZType, T.DateType)):
             return F.col(name).cast("timestamp")
-        return F.coalesce(*[F.try_to_timestamp(F.col(name), F.lit(f))
-                            for f in settings.timestamp_formats])
+        # ISO 8601 in full (fractions and zones, too), then the listed patterns.
+        iso = F.when(F.trim(name).rlike(r"^\d{4}-\d{2}-\d{2}"), F.col(name).try_cast("timestamp"))
+        return F.coalesce(iso, *[F.try_to_timestamp(F.col(name), F.lit(f))
+                                 for f in settings.timestamp_formats])
 
     customer = F.regexp_replace(F.col("`Customer ID`").cast("string"), r"^(\d+)\.0$", "$1")
     return df.withColumns({

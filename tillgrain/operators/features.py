@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.scalars import (clip, elapsed_days, exact_avg, exact_sum, product_category,
-                                 with_line_features)
+from ..functions.scalars import (
+    MONEY, TOTAL, clip, elapsed_days, exact_avg, exact_sum, product_category, with_line_features)
 from ..schema import DEFAULTS, ROW_ORDER, Settings
 from ..session import materialize
 from .joins import attach
 from .ranking import SMALL, select_ranks_by, with_average_rank
 
-MONEY = "decimal(18,6)"
 # Ranked ratios are rounded here, so that equal ratios tie on any machine.
 RATIO_DIGITS = 9
 
@@ -72,14 +71,14 @@ def daily_sales(lines: DataFrame) -> DataFrame:
 def rolling_mean(value: str, days: int, series: list[str], order: str) -> Column:
     """Mean of the last `days` rows of a series (fewer at its start)."""
     window = W.partitionBy(*series).orderBy(order).rowsBetween(1 - days, 0)
-    exact = F.col(value).cast(MONEY)
+    exact = F.col(value).cast(TOTAL)
     return F.sum(exact).over(window).cast("double") / F.count(exact).over(window)
 
 
 def filled_lag(value: str, days: int, series: list[str], order: str) -> Column:
     """Value `days` rows earlier; the mean of the series where there is none."""
     whole = W.partitionBy(*series)
-    exact = F.col(value).cast(MONEY)
+    exact = F.col(value).cast(TOTAL)
     mean = F.sum(exact).over(whole).cast("double") / F.count(exact).over(whole)
     return F.coalesce(F.lag(value, days).over(W.partitionBy(*series).orderBy(order)), mean)
 

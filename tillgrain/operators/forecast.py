@@ -215,18 +215,24 @@ def guarded_errors(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def ensemble_weights(errors: DataFrame) -> DataFrame:
-    """Weight per (series, model), inverse to its MAPE (at least 1 %)."""
-    inverse = errors.withColumn("_inverse", 1 / F.greatest("mape", F.lit(1.0)))
+    """Weight per (series, model), inverse to its MAPE (at least 1 %).
+
+    A model without a MAPE made no predictions and gets no weight.
+    """
+    inverse = errors.filter(F.col("mape").isNotNull()).withColumn("_inverse", 1 / F.greatest("mape", F.lit(1.0)))
     return inverse.withColumn(
         "weight", F.col("_inverse") / F.sum("_inverse").over(W.partitionBy("series"))
     ).select("series", "model", "mape", "weight")
 
 
 def blend(predictions: DataFrame, weights: DataFrame) -> DataFrame:
-    """Weighted sum of the models' predictions per day."""
+    """Weighted mean of the predictions that a day has."""
     joined = predictions.join(weights.select("series", "model", "weight"), ["series", "model"])
-    return joined.groupBy("series", "ds").agg(
-        F.sum(F.col("weight") * F.col("yhat")).alias("yhat"))
+    used = joined.filter("yhat is not null")
+    total = F.sum(F.col("weight") * F.col("yhat"))
+    # Weights are all zero where every model's error is infinite.
+    return used.groupBy("series", "ds").agg(F.coalesce(
+        F.try_divide(total, F.sum("weight")), total).alias("yhat"))
 
 
 def align_predictions(test_days: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -142,7 +142,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: list[str] | None =
     keys = by or []
     edges = df.agg(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))
     low, high = edges.select("low").scalar(), edges.select("high").scalar()
-    place = F.floor((F.col(column) - low) / (high - low) * bins)
+    place = F.floor(F.try_divide(F.col(column) - low, high - low) * bins)
     counted = (df.filter(F.col(column).isNotNull())
                .groupBy(*keys, F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).alias("bin"))
                .agg(F.count("*").alias("n")))

@@ -10,14 +10,14 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.scalars import elapsed_days, exact_avg, exact_sum
+from ..functions.scalars import (
+    TOTAL, elapsed_days, exact_avg, exact_sum)
 from ..session import materialize
 from .calendar import fill_calendar
 from .features import first_per_key
 from .joins import attach
 from .ranking import SMALL, exact_quantiles, running_totals
 
-MONEY = "decimal(18,6)"
 
 
 def customer_features(lines: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def daily_features(daily: DataFrame) -> DataFrame:
     w = W.orderBy("sales_date")   # one row per calendar day
 
     def rolling_sum(n):
-        return F.sum(F.col("daily_sales").cast(MONEY)).over(w.rowsBetween(1 - n, 0)).cast("double")
+        return F.sum(F.col("daily_sales").cast(TOTAL)).over(w.rowsBetween(1 - n, 0)).cast("double")
 
     return filled.withColumns({
         "Rolling7DaySales": rolling_sum(7), "Rolling30DaySales": rolling_sum(30),
@@ -84,7 +84,7 @@ def seasonal_index(lines: DataFrame) -> DataFrame:
     """Revenue of each month of the year over the mean of the month totals."""
     monthly = lines.groupBy("InvoiceMonth").agg(exact_sum("TotalAmount").alias("revenue"))
     return monthly.select("InvoiceMonth", (
-        F.col("revenue") / monthly.agg(exact_avg("revenue")).scalar()).alias("SeasonalIndex"))
+        F.col("revenue") / monthly.agg(exact_avg("revenue", TOTAL)).scalar()).alias("SeasonalIndex"))
 
 
 def sku_spread_risk(lines: DataFrame) -> DataFrame:

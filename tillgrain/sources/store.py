@@ -35,7 +35,8 @@ def write_feature_store(features: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """A headered CSV table; `single_file` is for small aggregates only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(
+        header=True, escape='"', timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

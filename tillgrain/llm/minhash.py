@@ -7,9 +7,10 @@ similarity, corrected for chance matches.
 
 Documents with equal sets form one class and go on as its smallest id.  Classes that share a
 band are candidates: first each with the one smallest member that it shares most bands with,
-then, where a band holds several components, each member outside the band's main component with all members of other
-components; pairs that are connected already are left out.  A pair whose estimate is too low is dropped, all others are confirmed
-on the full sets.  So a large group of near copies is linked by a star, not by all its pairs.
+then, where a band holds several components, the members outside the band's main component
+with all members of other components, in blocks of bounded weight.  A pair whose estimate is
+too low is dropped, all others are confirmed on the full sets.  So a large group of near
+copies is linked by a star, not by all its pairs, and no table of pairs is made of the rest.
 A pair at the threshold shares no band with a chance below 1e-5.
 
 Null and empty texts have empty sets and are linked with nothing.  Rows that repeat an id are
@@ -19,6 +20,8 @@ component, under a null id.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,7 +37,9 @@ HASHES, ROWS = 128, 4           # 32 bands of 4
 BITS = 2
 ACROSS = (3, 4)                 # similarity of at least 3/4
 ESTIMATE = 0.55                 # more than four standard errors below the threshold
-SLOT = 5000                     # members of a band that meet its stragglers in one task
+BLOCK = 500_000                 # shingles of a band's members that meet in one task, for either side
+PAIRS = 200_000                 # pairs of signatures that are compared at once
+ODD = U((1 << 64) // 3)         # 0101...01
 PIVOT_SLOT = 200                # members that a pivot's text is joined to at once
 
 _odd = (seeded(np.arange(HASHES, dtype=U), 11) | U(1))
@@ -118,8 +123,7 @@ _FIELDS = "doc_id long, n_shingles long, set_a long, set_b long, " + \
 
 def estimate(a: str, b: str) -> Column:
     """Similarity from the signatures of two aliases, corrected for chance matches."""
-    odd = (1 << 64) // 3                            # 0101...01
-    odd = odd - (1 << 64) if odd >= 1 << 63 else odd
+    odd = int(ODD)
     same = F.lit(0)
     for w in range(WORDS):
         differ = F.col(f"{a}.sign{w}").bitwiseXOR(F.col(f"{b}.sign{w}"))
@@ -198,9 +202,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = confirmed(_promising(best, sketches), known)
     components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
     # Then all others of a band, where components still differ.
-    more = materialize(_stragglers(heads, components, signs), "more")
+    more = _across(heads, components, signs, known)
     if not more.isEmpty():
-        links = links.unionAll(confirmed(more, known))
+        links = links.unionAll(more)
         components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
 
     # From classes to documents: classes of many copies are hot keys.
@@ -236,27 +240,114 @@ def _similar(a: str, b: str) -> Column:
     return (ACROSS[1] * F.least(m, n) >= ACROSS[0] * F.greatest(m, n)) & (estimate(a, b) >= ESTIMATE)
 
 
-def _stragglers(heads: DataFrame, components: DataFrame, signs: list[str]) -> DataFrame:
-    """Pairs within a band, but of different components, that are similar enough by signature.
+def _across(heads: DataFrame, components: DataFrame, signs: list[str], texts: DataFrame) -> DataFrame:
+    """Links (member, pivot) of full sets between components that share a band; stored.
 
-    A band's main component is not compared with itself: only its other members meet all,
-    and those by slots of bounded size.
+    A band's main component is not compared with itself: only its other members meet all.
+    They meet in blocks of bounded weight, where pairs stay inside the task: first rows with
+    no promising partner go, then the rest gets its texts, and a member is linked once to
+    each component that it belongs to.
     """
     named = heads.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         F.col("doc_id").alias("rep"), F.coalesce("component", "doc_id").alias("part"),
-        F.struct("n_shingles", *signs).alias("s"), "bands")
+        "n_shingles", *signs, "bands")
     rows = materialize(named.withColumn("band", F.explode("bands")).drop("bands"), "parted")
-    main = materialize(rows.groupBy("band", "part").agg(F.count("*").alias("n")).groupBy("band").agg(
-        F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("size"), F.count("*").alias("parts"))
-        .filter("parts > 1").select("band", F.col("top.part").alias("main"), "size",
-                                    F.ceil(F.col("size") / SLOT).alias("slots")), "main")
-    sketched = materialize(attach(rows, main, "band", "size").filter("main is not null"), "open")
-    left = sketched.filter("part <> main").withColumn(
-        "slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))).alias("l")
-    right = sketched.withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots"))).alias("r")
-    apart = (F.col("l.band") == F.col("r.band")) & (F.col("l.slot") == F.col("r.slot")) \
-        & (F.col("l.part") != F.col("r.part")) \
-        & ((F.col("r.part") == F.col("r.main")) | (F.col("l.rep") < F.col("r.rep"))) \
-        & _similar("l.s", "r.s")
-    return left.join(right, apart).select(
-        F.greatest("l.rep", "r.rep").alias("member"), F.least("l.rep", "r.rep").alias("pivot")).distinct()
+    weight = F.sum("weight")
+    main = materialize(rows.groupBy("band", "part").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("weight")).groupBy("band").agg(
+        F.max(F.struct("n", "part", "weight")).alias("top"), F.sum("n").alias("size"),
+        weight.alias("weight"), F.count("*").alias("parts")).filter("parts > 1").select(
+        "band", F.col("top.part").alias("main"), "size", "weight",
+        F.ceil((F.col("weight") - F.col("top.weight")) / BLOCK).alias("lslots"),
+        F.ceil(F.col("weight") / BLOCK).alias("rslots")), "main")
+    total = main.agg(weight).first()[0]
+    if not total:
+        return texts.select(F.col("doc_id").alias("member"), F.col("doc_id").alias("pivot")).limit(0)
+    opened = materialize(attach(rows, main, "band", "size").filter("main is not null").drop("size", "weight"),
+                         "open")
+
+    def slot(count: str):
+        return F.pmod(F.xxhash64("rep"), F.col(count))
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    left = opened.filter("part <> main").withColumns({"mine": F.lit(True), "lslot": slot("lslots")}) \
+        .withColumn("rslot", every("rslots"))
+    right = opened.withColumns({"mine": F.lit(False), "rslot": slot("rslots")}) \
+        .withColumn("lslot", every("lslots"))
+    alone = (F.col("lslots") == 1) & (F.col("rslots") == 1)          # small bands share blocks
+    block = F.when(alone, F.pmod(F.col("band"), F.lit(math.ceil(total / BLOCK)))).otherwise(
+        F.xxhash64("band", "lslot", "rslot"))
+    keep = ["block", "band", "lslot", "rslot", "mine", "rep", "part", "main", "n_shingles", *signs]
+    dealt = left.unionByName(right).withColumn("block", block).select(*keep)
+    near = materialize(dealt.groupBy("block").applyInPandas(_met, dealt.schema), "near")
+    held = near.select(F.col("block").alias("meeting"), F.col("rep").alias("doc_id")).distinct().join(texts, "doc_id")
+    return materialize(near.groupBy("block").cogroup(held.groupBy("meeting")).applyInPandas(
+        _linked, "member long, pivot long"), "across")
+
+
+def _meetings(frame: pd.DataFrame):
+    """(left rows, right rows) that are similar by size and signature, band by band."""
+    band, lslot, rslot = (frame[c].to_numpy() for c in ("band", "lslot", "rslot"))
+    mine, rep, part, main, n = (frame[c].to_numpy() for c in ("mine", "rep", "part", "main", "n_shingles"))
+    sign = [frame[f"sign{w}"].to_numpy().view(U) for w in range(WORDS)]
+    order = np.lexsort((rslot, lslot, band))
+    same = np.logical_and.reduce([c[order][1:] == c[order][:-1] for c in (band, lslot, rslot)])
+    edges = np.concatenate([[0], np.flatnonzero(~same) + 1, [len(order)]])
+    for a, b in zip(edges[:-1], edges[1:]):
+        rows = order[a:b]
+        lefts, r = rows[mine[rows]], rows[~mine[rows]]
+        step = max(1, PAIRS // max(1, len(r)))
+        for k in range(0, len(lefts), step):
+            x = lefts[k:k + step]
+            good = (part[x][:, None] != part[r]) & ((part[r] == main[r]) | (rep[x][:, None] < rep[r]))
+            small, large = np.minimum(n[x][:, None], n[r]), np.maximum(n[x][:, None], n[r])
+            good &= ACROSS[1] * small >= ACROSS[0] * large
+            i, j = np.nonzero(good)
+            equal = np.zeros(len(i), np.int64)
+            for s in sign:
+                differ = s[x[i]] ^ s[r[j]]
+                equal += 64 // BITS - np.bitwise_count((differ | (differ >> U(1))) & ODD).astype(np.int64)
+            chance = 2.0 ** -BITS
+            good = (equal / HASHES - chance) / (1 - chance) >= ESTIMATE
+            yield x[i[good]], r[j[good]]
+
+
+def _met(frame: pd.DataFrame) -> pd.DataFrame:
+    """The rows that have a promising partner in their band."""
+    found = np.zeros(len(frame), bool)
+    for left, right in _meetings(frame):
+        found[left] = found[right] = True
+    return frame[found]
+
+
+def _linked(frame: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    """The promising pairs confirmed on full sets, one per left row and component."""
+    rep, part = frame["rep"].to_numpy(), frame["part"].to_numpy()
+    made, cut = distinct_sets(held["text"].tolist())
+    size = np.diff(cut)
+    wanted = dict(zip(rep.tolist(), frame["n_shingles"].tolist()))     # of a repeated id the set that counts
+    place = {d: k for k, d in enumerate(held["doc_id"].tolist()) if size[k] == wanted.get(d)}
+    at = np.array([place[d] for d in rep.tolist()], np.int64)
+    known, code = np.unique(made, return_inverse=True)
+    flag = np.zeros(len(known), np.int64)
+    members, pivots = [], []
+    for left, right in _meetings(frame):
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(left)) + 1, [len(left)]])
+        for a, b in zip(edges[:-1], edges[1:]):
+            if a == b:
+                continue
+            own, others = at[left[a]], at[right[a:b]]
+            flag[code[cut[own]:cut[own + 1]]] = 1
+            upto = np.concatenate([[0], np.cumsum(size[others])])
+            take = np.repeat(cut[others] - upto[:-1], size[others]) + np.arange(upto[-1])
+            common = np.add.reduceat(flag[code[take]], upto[:-1])
+            flag[code[cut[own]:cut[own + 1]]] = 0
+            good = ACROSS[1] * common >= ACROSS[0] * (size[own] + size[others] - common)
+            _, first = np.unique(part[right[a:b]][good], return_index=True)
+            partners = rep[right[a:b]][good][first]
+            members.append(np.full(len(partners), rep[left[a]]))
+            pivots.append(partners)
+    return pd.DataFrame({"member": np.concatenate([*members, np.empty(0, np.int64)]),
+                         "pivot": np.concatenate([*pivots, np.empty(0, np.int64)])})

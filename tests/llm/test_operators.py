@@ -136,6 +136,38 @@ def test_near_duplicates(docs, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def _plain_components(texts):
+    sets = {}
+    for i, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.lower())
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    group = {i: i for i in sets}
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {i: low if g == high else g for i, g in group.items()}
+    return group
+
+
+@pytest.mark.parametrize("block", [minhash.BLOCK, 900])
+def test_near_copies_around_the_threshold(spark, docs, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)         # small: a band's members meet in many blocks
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(120)]
+    texts = {}
+    for i in range(60):
+        words = list(base)
+        for k in rng.choice(120, rng.integers(1, 5), replace=False):
+            words[k] = f"x{i}y{k}"
+        texts[i] = " ".join(words)
+    frame = spark.createDataFrame(list(texts.items()) + [(60, texts[7]), (60, texts[7])],
+                                  "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(frame).collect()}
+    assert found == _plain_components(texts | {60: texts[7]})
+
+
 def test_packing(docs, nothing):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rows = packing.pack(docs, path).collect()

@@ -3,7 +3,9 @@
 Spaced seeds: a fixed mask selects some word positions of a window and ignores the others,
 so a window with substitutions at ignored places still has the hash of the original.  Every
 window of every document meets the items' windows by hash; around a hit the whole item is
-laid against the document, and the share of equal words decides.
+laid against the document, and the share of equal words decides.  The masks are all choices
+of three words within five: an item of which half of the words (eight at least) stand at the
+same distances in a document meets one of them, whichever words those are.
 
 Items of fewer words than a mask spans are sought by all their words in a row.  Items and
 documents without words (null texts, too) never match.  Item seeds are broadcast in blocks
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import materialize
 from .common import hinted, parts_for
 
-MASKS = ("1110111", "11011011", "1101010111")
+MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
 LEAST_WORDS, LEAST_SHARE = 8, 0.5
 BLOCK = 200_000       # item seeds that are broadcast at once
 
@@ -49,8 +51,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     repeat an id are one document.
     """
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("g")).filter(F.size("g") > 0)
-    short = [r[0] for r in items.filter(F.size("g") < max(map(len, MASKS))).select(
-        F.size("g")).distinct().collect()]                      # at most as many as a mask is long
+    short = [r[0] for r in items.filter(F.size("g") < min(map(len, MASKS))).select(
+        F.size("g")).distinct().collect()]                      # fewer than a mask is long
     masks = [*MASKS, *("1" * n for n in sorted(short))]
     wanted = seeds(items.withColumnRenamed("g", "h"), masks, ["item_id"]).select(
         "item_id", F.col("at").alias("item_at"), "seed").distinct()

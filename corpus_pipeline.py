@@ -22,18 +22,31 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "not _found.rejected").drop("_found")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Stored rows with a key of their own, as ids may be null or repeated."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates one row stays, that with the smallest id (null comes last)."""
     prepare(spark)
-    kept = minhash.near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept.distinct(), "doc_id", "left_semi").select(*docs.columns)
+    rows = _keyed(docs)
+    found = minhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    named = rows.select("_row", "doc_id").join(
+        found.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
+    kept = named.groupBy("component_id").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row")).alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Rows that hold a benchmark item go, whatever their id."""
     prepare(spark)
-    found = decontaminate.overlaps(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = _keyed(docs)
+    found = decontaminate.overlaps(rows.select(F.col("_row").alias("doc_id"), "text"),
+                                   table(spark, sf_dir, "benchmark"))
+    return rows.join(found.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(
+        *docs.columns)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import pytest
+
 from tillgrain.llm import decontaminate
 from tillgrain.llm.common import prepare
 
@@ -25,7 +27,7 @@ def test_masks_meet_every_choice_at_the_threshold():
     chosen = {tuple(i for i, bit in enumerate(m) if bit == "1") for m in decontaminate.MASKS}
     assert chosen == {(0, a, b) for a, b in itertools.combinations(range(1, 5), 2)}
     for n in range(decontaminate.LEAST_WORDS, 130):
-        assert _least_hits(n, max(decontaminate.LEAST_WORDS, -(-n // 2))) >= 1
+        assert _least_hits(n, max(decontaminate.LEAST_WORDS, -(-n // 2))) >= (1 if n == decontaminate.LONE else 2)
 
 
 def _overlaps(spark, docs, items):
@@ -59,3 +61,28 @@ def test_substituted_words_up_to_the_threshold(spark):
             want[k, k] = _aligned(doc, item)
     assert len(want) > 50
     assert {k: r["matched"] for k, r in _overlaps(spark, docs, items).items()} == want
+
+
+@pytest.mark.parametrize("case,matched", [
+    ("passage", 29), ("long passage", 150), ("inserted", 15), ("deleted", 12), ("short", None),
+    ("scattered", None), ("once", None)])
+def test_passages_and_moved_parts(spark, case, matched):
+    n = {"passage": 59, "long passage": 400, "inserted": 15, "deleted": 15, "short": 59, "scattered": 59, "once": 30}[case]
+    item = [f"w{j}" for j in range(n)]
+    body = {"passage": item[10:39], "long passage": item[100:250], "short": item[10:22],
+            "inserted": item[:5] + ["new"] + item[5:10] + ["more"] + item[10:],
+            "deleted": item[:4] + item[5:9] + item[10:14],
+            "scattered": sum((item[j:j + 4] + ["x"] * 60 for j in range(0, 59, 8)), []),
+            "once": ["a", "b", "c"]}[case]
+    if case == "once":
+        item = ["a", "b", "c"] * 10                 # three words of a document are no thirty of an item
+    found = _overlaps(spark, [(1, " ".join(["before", "it", *body, "after"]))], [(7, " ".join(item))])
+    assert {k: r["matched"] for k, r in found.items()} == ({(1, 7): matched} if matched else {})
+
+
+def test_null_and_repeated_ids(spark):
+    item = " ".join(f"w{j}" for j in range(20))
+    half = " ".join(f"w{j}" for j in range(8))
+    rest = " ".join(f"w{j}" for j in range(12, 19))
+    found = _overlaps(spark, [(None, item), (None, "nothing"), (2, half), (2, rest), (3, "no"), (3, item)], [(7, item)])
+    assert {k: r["matched"] for k, r in found.items()} == {(None, 7): 20, (3, 7): 20}

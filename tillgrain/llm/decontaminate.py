@@ -1,13 +1,18 @@
-"""Overlaps of documents with benchmark items that survive substituted words.
+"""Overlaps of documents with benchmark items that survive substituted, added and left-out words.
 
 Spaced seeds: a fixed mask selects some word positions of a window and ignores the others,
-so a window with substitutions at ignored places still has the hash of the original.  Every
-window of every document meets the items' windows by hash; around a hit the whole item is
-laid against the document, and the share of equal words decides.  The masks are all choices
-of three words within five: an item of which half of the words (eight at least) stand at the
-same distances in a document meets one of them, whichever words those are.
+so a window with substitutions at ignored places still has the hash of the original.  The
+masks are all choices of three words within five.  An item of which half of the words (eight
+at least) stand at the same distances in a document meets one of them whichever words those
+are, and two of them unless it has 18 words; so nothing at the threshold is missed.
 
-Items of fewer words than a mask spans are sought by all their words in a row.  Items and
+A pair counts by its hits within a reach of shifts (half of the item, eight words at least):
+- the whole item laid against the document at one shift: the share of equal words; or
+- the words of all hits together, over the shifts within the reach, so that added and
+  left-out words split nothing; each word of the item and of the document counts once; or
+- a passage: enough of these words close together, whatever the item's length.
+
+Items of fewer words than `LEAST_WORDS` are sought by all their words in a row.  Items and
 documents without words (null texts, too) never match.  Item seeds are broadcast in blocks
 of bounded size, whatever the benchmark's size.  DataFrame functions only.
 """
@@ -21,6 +26,9 @@ from .common import hinted, parts_for
 
 MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
 LEAST_WORDS, LEAST_SHARE = 8, 0.5
+LONE = 18             # nine of 18 words may meet a single mask, all other lengths meet two
+PASSAGE, SPAN = 13, 16          # so many words within so many places are a passage
+PLACES = 1 << 32
 BLOCK = 200_000       # item seeds that are broadcast at once
 
 
@@ -31,13 +39,13 @@ def word_hashes(text: Column) -> Column:
 
 
 def seeds(rows: DataFrame, masks: list[str], keep: list[str]) -> DataFrame:
-    """(keep, at, seed): one row per mask and window of the word hashes `h`."""
+    """(keep, at, mask, seed): one row per mask and window of the word hashes `h`."""
     at, made = F.col("at"), []
     for k, mask in enumerate(masks):
         chosen = [F.get("h", at + j) for j, bit in enumerate(mask) if bit == "1"]
         made.append(F.when(at + len(mask) <= F.size("h"), F.xxhash64(F.lit(k), *chosen)))
     spread = rows.select(*keep, "h", F.explode(F.sequence(F.lit(0), F.size("h") - 1)).alias("at"))
-    return spread.select(*keep, "at", F.explode(F.array(*made)).alias("seed")).filter(
+    return spread.select(*keep, "at", F.posexplode(F.array(*made)).alias("mask", "seed")).filter(
         "seed is not null")
 
 
@@ -45,45 +53,97 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
              least_share: float = LEAST_SHARE, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, matched, item_words, share, start) of each contaminated pair.
 
-    `matched` words of the item stand at the same distances in the document, from word
-    `start` on.  An item counts from `least_share` of its words on, and `least_words` of
-    them (or all that it has).  Of several places the best one is returned; rows that
-    repeat an id are one document.
+    `matched` words of the item stand in the document, which would begin the item at word
+    `start`.  An item counts from `least_share` of its words on, and `least_words` of them
+    (or all that it has), or from a passage of `PASSAGE` words on.  Of several places the
+    best one is returned; rows that repeat an id (null, too) are searched one by one and
+    reported once.  Shares below a half are not sure to be found.
     """
-    items = benchmark.select("item_id", word_hashes(F.col("text")).alias("g")).filter(F.size("g") > 0)
-    short = [r[0] for r in items.filter(F.size("g") < min(map(len, MASKS))).select(
-        F.size("g")).distinct().collect()]                      # fewer than a mask is long
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
+    items = benchmark.select(F.xxhash64("item_id", "text").alias("item"), "item_id",
+                             word_hashes(F.col("text")).alias("g")).filter(F.size("g") > 0)
+    items = items.withColumn("n", F.size("g")).dropDuplicates(["item"])
+    short = [r[0] for r in items.filter(F.col("n") < min(map(len, MASKS))).select(
+        "n").distinct().collect()]                              # fewer than a mask is long
     masks = [*MASKS, *("1" * n for n in sorted(short))]
-    wanted = seeds(items.withColumnRenamed("g", "h"), masks, ["item_id"]).select(
-        "item_id", F.col("at").alias("item_at"), "seed").distinct()
+    wanted = seeds(items.withColumnRenamed("g", "h"), masks, ["item", "n"]).withColumnRenamed("at", "item_at")
     seed_count = wanted.count()
     blocks = parts_for(seed_count, block)
-    words = docs.select("doc_id", word_hashes(F.col("text")).alias("h")).filter(F.size("h") > 0)
-    windows = seeds(words, masks, ["doc_id"]).select("doc_id", "at", "seed")
+    words = rows.select("row", word_hashes(F.col("text")).alias("h")).filter(F.size("h") > 0)
+    windows = seeds(words, masks, ["row"]).drop("mask")
+    reach = F.greatest(F.lit(least_words), F.floor(F.col("n") * least_share)).cast("int")
     found = None
     for k in range(blocks):
-        some = wanted.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        some = wanted.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
         hits = windows.join(F.broadcast(some), "seed").select(
-            "doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+            "row", "item", "n", (F.col("at") - F.col("item_at")).alias("shift"), "item_at", "mask")
         found = hits if found is None else found.unionAll(hits)
-    found = materialize(found, "hits")
+
+    # Zones of two reaches that overlap by one: shifts within a reach share a zone.
+    zone = F.floor(F.col("shift") / reach)
+    zoned = found.withColumn("zone", F.explode(F.array(zone - 1, zone)))
+    need = F.when((F.col("n") < LEAST_WORDS) | (F.col("n") == LONE), 1).otherwise(2)
+    met = materialize(zoned.groupBy("row", "item", "n", "zone").agg(
+        F.collect_set(F.struct("shift", "item_at", "mask")).alias("hits")).filter(
+        F.size("hits") >= need).select(
+        "row", "item", F.array_distinct(F.transform("hits", lambda x: x["shift"])).alias("shifts"),
+        _covered(masks).alias("covered")), "hits")
 
     # Only documents with hits are read again, and laid against the items.
-    ids = found.select("doc_id").distinct()
-    hit_docs = docs.select("doc_id", "text").join(hinted(ids, ids.count()), "doc_id", "left_semi").select(
-        "doc_id", word_hashes(F.col("text")).alias("h"))
-    laid = hit_docs.join(found, "doc_id").join(hinted(items, seed_count), "item_id")
-    shift = F.col("shift")
-    same = F.size(F.filter(F.sequence(F.lit(0), F.size("g") - 1),
-                           lambda q: F.coalesce(F.when(shift + q >= 0, F.get("h", shift + q))
-                                                == F.get("g", q), F.lit(False))))
-    return laid.select(
-        "doc_id", "item_id", same.alias("matched"), F.size("g").alias("item_words"),
-        F.greatest(shift, F.lit(0)).alias("start")).filter(
-        (F.col("matched") >= F.least(F.lit(least_words), F.col("item_words")))
-        & (F.col("matched") >= least_share * F.col("item_words"))).groupBy("doc_id", "item_id").agg(
-        F.max(F.struct("matched", (-F.col("start")).alias("back"), "item_words")).alias("best")).select(
+    ids = met.select("row").distinct()
+    hit_docs = rows.join(hinted(ids, ids.count()), "row", "left_semi").select(
+        "row", "doc_id", word_hashes(F.col("text")).alias("h"))
+    laid = hit_docs.join(met, "row").join(hinted(items, seed_count), "item")
+    enough = F.greatest(F.least(F.lit(least_words), F.col("n")), F.ceil(least_share * F.col("n")))
+    ways = F.concat(F.transform("shifts", lambda s: _at_one(s, enough)),
+                    F.transform("shifts", lambda s: _within(s, reach, enough)))
+    good = laid.select("doc_id", "item_id", "n", F.explode(F.filter(ways, lambda x: x["good"])).alias("way"))
+    return good.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("way.matched", "way.back", "n")).alias("best")).select(
         "doc_id", "item_id", F.col("best.matched").cast("long").alias("matched"),
-        F.col("best.item_words").cast("long").alias("item_words"),
-        (F.col("best.matched") / F.col("best.item_words")).alias("share"),
+        F.col("best.n").cast("long").alias("item_words"),
+        (F.col("best.matched") / F.col("best.n")).alias("share"),
         (-F.col("best.back")).cast("long").alias("start"))
+
+
+def _covered(masks: list[str]) -> Column:
+    """Shift and place, as one number, of each word of the item that a hit has matched."""
+    offsets = F.array(*[F.array(*[F.lit(j) for j, bit in enumerate(m) if bit == "1"]) for m in masks])
+    return F.array_distinct(F.flatten(F.transform("hits", lambda x: F.transform(
+        F.get(offsets, x["mask"]), lambda j: x["shift"].cast("long") * PLACES + x["item_at"] + j))))
+
+
+def _way(matched: Column, start: Column, good: Column) -> Column:
+    return F.struct(matched.alias("matched"), (-F.greatest(start, F.lit(0))).alias("back"), good.alias("good"))
+
+
+def _at_one(shift: Column, enough: Column) -> Column:
+    """The whole item at one shift, single words included."""
+    same = F.size(F.filter(F.sequence(F.lit(0), F.col("n") - 1),
+                           lambda q: F.coalesce(F.when(shift + q >= 0, F.get("h", shift + q))
+                                                == F.get("g", q), F.lit(False))))
+    return _way(same, shift, same >= enough)
+
+
+def _within(first: Column, reach: Column, enough: Column) -> Column:
+    """The words of all hits at shifts from `first` on, up to the reach."""
+    some = F.filter("covered", lambda x: (_shift(x) >= first) & (_shift(x) <= first + reach))
+    passage = F.exists(some, lambda a: _once(F.filter(some, lambda b: (_place(b) >= _place(a)) & (
+        _place(b) < _place(a) + SPAN))) >= PASSAGE)
+    start = F.array_min(F.transform(some, lambda x: F.struct(_place(x), _shift(x).alias("shift"))))["shift"]
+    return _way(_once(some), start.cast("int"), (F.col("n") >= LEAST_WORDS) & (
+        (_once(some) >= enough) | ((_once(some) >= PASSAGE) & passage)))
+
+
+def _place(code: Column) -> Column:
+    return F.pmod(code, F.lit(PLACES))
+
+
+def _shift(code: Column) -> Column:
+    return F.shiftright(code, 32)
+
+
+def _once(some: Column) -> Column:
+    """Words that are matched, where each of the item and of the document counts once."""
+    return F.least(F.size(F.array_distinct(F.transform(some, _place))),
+                   F.size(F.array_distinct(F.transform(some, lambda x: _place(x) + _shift(x)))))

@@ -35,9 +35,13 @@ def line_key(line: Column) -> Column:
         F.translate(bare, string.ascii_uppercase, string.ascii_lowercase))
 
 
+def _lines() -> Column:
+    return F.split(F.coalesce(F.col("text"), F.lit("")), "\n")
+
+
 def _entries(rows: DataFrame, least_chars: int) -> DataFrame:
     """(doc_id, copy, at, hash): each line whose key is long enough."""
-    lines = rows.select("doc_id", "copy", F.posexplode("lines").alias("at", "line"))
+    lines = rows.select("doc_id", "copy", F.posexplode(_lines()).alias("at", "line"))
     return lines.withColumn("key", line_key(F.col("line"))).filter(
         F.char_length("key") >= least_chars).select(
         "doc_id", "copy", "at", F.unhex(F.md5(F.col("key").cast("binary"))).alias("hash"))
@@ -57,9 +61,8 @@ def shared_lines(entries: DataFrame, least_documents: int = LEAST_DOCUMENTS) ->
 def remove_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_documents: int = LEAST_DOCUMENTS
                  ) -> DataFrame:
     """(doc_id, text, n_lines, n_dropped, kept) for every row of `docs`."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(text).alias("copy"),
-                       F.split(text, "\n").alias("lines"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("copy"))
     entries = _entries(rows, least_chars)
     shared = materialize(shared_lines(entries, least_documents), "shared-lines")
     # The lines of frequent hashes meet their answer without a shuffle by hash.
@@ -74,9 +77,9 @@ def remove_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_document
     flags = F.flatten(F.transform("dropped", lambda at, k: F.concat(
         F.array_repeat(F.lit(True), at - F.when(k > 0, F.get(F.col("dropped"), k - 1)).otherwise(-1) - 1),
         F.array(F.lit(False)))))
-    kept = F.array_join(F.zip_with("lines", flags, lambda line, stays: F.when(
+    kept = F.array_join(F.zip_with(_lines(), flags, lambda line, stays: F.when(
         F.coalesce(stays, F.lit(True)), line)), "\n")
     return joined.select(
-        "doc_id", "text", F.size("lines").cast("long").alias("n_lines"),
+        "doc_id", "text", F.size(_lines()).cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("dropped").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept).alias("kept"))

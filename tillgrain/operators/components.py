@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch
 from .joins import attach
 
 
@@ -14,8 +14,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating star contractions: each node hands its larger neighbours, then its
     smaller ones, to the least node around it.  The number of rounds grows with the
     logarithm of the graph, not with its diameter.  Every round is stored, and nodes
-    with many neighbours are joined as hot keys.
+    with many neighbours are joined as hot keys.  The result is stored, the rounds are deleted.
     """
+    with scratch(edges.sparkSession) as scope:
+        return scope.keep(_contracted(edges), "components")
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .filter("a <> b").distinct(), "edges")
     nodes = materialize(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")

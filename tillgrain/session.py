@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,13 +51,64 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+class Scratch:
+    """Stored tables that go when their work is done; `keep` stores a result that stays."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, label: str = "result") -> DataFrame:
+        """Store `df` for the surrounding scope."""
+        at = _scopes.index(self)
+        inner, _scopes[at:] = _scopes[at:], []
+        try:
+            return materialize(df, label)
+        finally:
+            _scopes.extend(inner)
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete stored tables of this scope that nothing reads any more."""
+        gone = {f for t in tables for f in t.inputFiles()}
+        for path in [p for p in self.paths if any(p in f for f in gone)]:
+            delete_path(tables[0].sparkSession, path)
+            self.paths.remove(path)
+
+
+_scopes: list[Scratch] = []      # the innermost last
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """What `materialize` stores inside is deleted at the end.
+
+    A result has to be stored by `keep` before, since Spark reads tables only when they are asked for.
+    """
+    scope = Scratch()
+    _scopes.append(scope)
+    try:
+        yield scope
+    finally:
+        _scopes.remove(scope)
+        for path in scope.paths:
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a stored table wherever it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage in a way that outlives lost executors, and gives the
-    optimizer the true size of the table for its join choice.
+    optimizer the true size of the table for its join choice.  Inside `scratch` the table
+    is deleted with its scope.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _scopes:
+        _scopes[-1].paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

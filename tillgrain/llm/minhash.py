@@ -1,9 +1,10 @@
 """Near-duplicate documents: b-bit MinHash candidates, confirmed on full shingle sets.
 
 A document's set holds its distinct shingles of five lower-cased words (fewer words: the
-whole sequence).  128 minima per set give 32 band keys of four minima; of each minimum the
+whole sequence).  200 minima per set give 40 band keys of five minima; of the first 128 minima the
 lowest two bits are kept in a signature of 256 bits, whose equal pairs estimate the
-similarity, corrected for chance matches.
+similarity, corrected for chance matches.  A pair at the threshold shares no band with a chance of 2e-5,
+one at 0.4 shares one with a chance of 0.34, one at 0.3 of 0.09.
 
 Documents with equal sets form one class and go on as its smallest id.  Classes that share a
 band are candidates: first each with the one smallest member that it shares most bands with,
@@ -11,7 +12,7 @@ then, where a band holds several components, the members outside the band's main
 with all members of other components, in blocks of bounded weight.  A pair whose estimate is
 too low is dropped, all others are confirmed on the full sets.  So a large group of near
 copies is linked by a star, not by all its pairs, and no table of pairs is made of the rest.
-A pair at the threshold shares no band with a chance below 1e-5.
+Bands are stored with ids only; signatures join them where they are compared.
 
 Null and empty texts have empty sets and are linked with nothing.  Rows that repeat an id are
 one document with the set of the text that sorts last.  Rows with a null id are their own
@@ -28,13 +29,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.components import connected_components
 from ..operators.joins import attach
-from ..session import materialize
+from ..session import Scratch, materialize, scratch
 from .arrays import U, groups, joined, mix, seeded, span_hash, window_hash, words
 from .common import hinted
 
 SHINGLE = 5
-HASHES, ROWS = 128, 4           # 32 bands of 4
+HASHES, ROWS = 200, 5           # 40 bands of 5
 BITS = 2
+SIGNED = 128                    # minima in the signature
 ACROSS = (3, 4)                 # similarity of at least 3/4
 ESTIMATE = 0.55                 # more than four standard errors below the threshold
 BLOCK = 500_000                 # shingles of a band's members that meet in one task, for either side
@@ -105,7 +107,7 @@ def _summaries(frames):
                 low = mix(least) & U((1 << BITS) - 1)
                 per = 64 // BITS
                 sign = [np.bitwise_or.reduce([low[w * per + j] << U(BITS * j) for j in range(per)])
-                        for w in range(HASHES // per)]
+                        for w in range(SIGNED // per)]
                 bands = [seeded(window_hash(least[b:b + ROWS].T.ravel(), ROWS)[::ROWS], b)
                          for b in range(0, HASHES, ROWS)]
                 yield pd.DataFrame({
@@ -116,7 +118,7 @@ def _summaries(frames):
             k = stop
 
 
-WORDS = HASHES * BITS // 64
+WORDS = SIGNED * BITS // 64
 _FIELDS = "doc_id long, n_shingles long, set_a long, set_b long, " + \
     "".join(f"sign{w} long, " for w in range(WORDS)) + "bands array<long>"
 
@@ -130,7 +132,7 @@ def estimate(a: str, b: str) -> Column:
         either = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(odd))
         same = same + (64 // BITS - F.bit_count(either))
     chance = 2.0 ** -BITS
-    return (same / float(HASHES) - chance) / (1 - chance)
+    return (same / float(SIGNED) - chance) / (1 - chance)
 
 
 def _confirm(least: tuple[int, int]):
@@ -154,6 +156,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame, least: tuple[int, int] = ACROS
 
     A pivot's text is joined once per slot of its members, so one with many is no hot key.
     """
+    with scratch(texts.sparkSession) as scope:
+        return scope.keep(_checked(pairs, texts, least), "links")
+
+
+def _checked(pairs: DataFrame, texts: DataFrame, least: tuple[int, int]) -> DataFrame:
     pairs = materialize(pairs, "pairs")
     ids = materialize(pairs.select(F.explode(F.array("member", "pivot")).alias("doc_id")).distinct(), "ids")
     involved = materialize(texts.join(hinted(ids, ids.count()), "doc_id", "left_semi"), "texts")
@@ -164,12 +171,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame, least: tuple[int, int] = ACROS
     right = slots.select("pivot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot")) \
         .join(involved.select(F.col("doc_id").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
     left = dealt.join(involved.select(F.col("doc_id").alias("member"), "text"), "member")
-    return materialize(left.join(right, ["pivot", "slot"]).select("member", "pivot", "text", "pivot_text")
-                       .mapInPandas(_confirm(least), "member long, pivot long"), "links")
+    return left.join(right, ["pivot", "slot"]).select("member", "pivot", "text", "pivot_text") \
+        .mapInPandas(_confirm(least), "member long, pivot long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document."""
+    """(doc_id, n_shingles, component_id, kept) of every document; stored."""
+    with scratch(docs.sparkSession) as scope:
+        return scope.keep(_grouped(docs, scope), "near-duplicates")
+
+
+def _grouped(docs: DataFrame, scope: Scratch) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
     known = rows.filter("doc_id is not null")
@@ -185,14 +197,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                                  "set", "copies").select("doc_id", "n_shingles", "rep"), "members")
     heads = summaries.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     signs = [f"sign{w}" for w in range(WORDS)]
+    sketches = materialize(heads.select("doc_id", F.struct("n_shingles", *signs).alias("s")), "sketches")
 
     # Bands of at least two classes, each row with the band's smallest member.
     spread = heads.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("band"))
     shared = materialize(spread.groupBy("band").agg(
         F.min("rep").alias("pivot"), F.count("*").alias("size"), F.count("*").alias("n")).filter(
         "size > 1"), "bands")
-    placed = materialize(attach(spread, shared, "band", "n").filter("pivot is not null"), "placed")
-    sketches = materialize(heads.select("doc_id", F.struct("n_shingles", *signs).alias("s")), "sketches")
+    placed = materialize(attach(spread, shared, "band", "n").filter("pivot is not null").select(
+        "rep", "band", "pivot"), "placed")
+    scope.drop(summaries, shared, classes)
 
     # A star per group: each class with the pivot it shares most bands with.
     stars = materialize(placed.filter("rep <> pivot").groupBy(F.col("rep").alias("member"), "pivot").agg(
@@ -200,9 +214,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     best = stars.groupBy("member").agg(F.max(F.struct("bands", (-F.col("pivot")).alias("low"))).alias("top")) \
         .select("member", (-F.col("top.low")).alias("pivot"))
     links = confirmed(_promising(best, sketches), known)
+    scope.drop(stars)
     components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
     # Then all others of a band, where components still differ.
-    more = _across(heads, components, signs, known)
+    more = _across(placed, components, sketches, known)
     if not more.isEmpty():
         links = links.unionAll(more)
         components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
@@ -240,7 +255,7 @@ def _similar(a: str, b: str) -> Column:
     return (ACROSS[1] * F.least(m, n) >= ACROSS[0] * F.greatest(m, n)) & (estimate(a, b) >= ESTIMATE)
 
 
-def _across(heads: DataFrame, components: DataFrame, signs: list[str], texts: DataFrame) -> DataFrame:
+def _across(placed: DataFrame, components: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (member, pivot) of full sets between components that share a band; stored.
 
     A band's main component is not compared with itself: only its other members meet all.
@@ -248,10 +263,15 @@ def _across(heads: DataFrame, components: DataFrame, signs: list[str], texts: Da
     no promising partner go, then the rest gets its texts, and a member is linked once to
     each component that it belongs to.
     """
-    named = heads.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+    with scratch(texts.sparkSession) as scope:
+        return scope.keep(_between(placed, components, sketches, texts), "across")
+
+
+def _between(placed: DataFrame, components: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
+    parts = materialize(sketches.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         F.col("doc_id").alias("rep"), F.coalesce("component", "doc_id").alias("part"),
-        "n_shingles", *signs, "bands")
-    rows = materialize(named.withColumn("band", F.explode("bands")).drop("bands"), "parted")
+        F.col("s.n_shingles").alias("n_shingles")), "parts")
+    rows = materialize(placed.select("band", "rep").join(parts, "rep"), "parted")
     weight = F.sum("weight")
     main = materialize(rows.groupBy("band", "part").agg(
         F.count("*").alias("n"), F.sum("n_shingles").alias("weight")).groupBy("band").agg(
@@ -279,12 +299,13 @@ def _across(heads: DataFrame, components: DataFrame, signs: list[str], texts: Da
     alone = (F.col("lslots") == 1) & (F.col("rslots") == 1)          # small bands share blocks
     block = F.when(alone, F.pmod(F.col("band"), F.lit(math.ceil(total / BLOCK)))).otherwise(
         F.xxhash64("band", "lslot", "rslot"))
-    keep = ["block", "band", "lslot", "rslot", "mine", "rep", "part", "main", "n_shingles", *signs]
-    dealt = left.unionByName(right).withColumn("block", block).select(*keep)
-    near = materialize(dealt.groupBy("block").applyInPandas(_met, dealt.schema), "near")
+    keep = ["block", "band", "lslot", "rslot", "mine", "rep", "part", "main", "n_shingles"]
+    signs = sketches.select(F.col("doc_id").alias("rep"), *[f"s.sign{w}" for w in range(WORDS)])
+    dealt = materialize(left.unionByName(right).withColumn("block", block).select(*keep), "dealt")
+    signed = dealt.join(signs, "rep").select(*keep, *[f"sign{w}" for w in range(WORDS)])
+    near = materialize(signed.groupBy("block").applyInPandas(_met, signed.schema), "near")
     held = near.select(F.col("block").alias("meeting"), F.col("rep").alias("doc_id")).distinct().join(texts, "doc_id")
-    return materialize(near.groupBy("block").cogroup(held.groupBy("meeting")).applyInPandas(
-        _linked, "member long, pivot long"), "across")
+    return near.groupBy("block").cogroup(held.groupBy("meeting")).applyInPandas(_linked, "member long, pivot long")
 
 
 def _meetings(frame: pd.DataFrame):
@@ -310,7 +331,7 @@ def _meetings(frame: pd.DataFrame):
                 differ = s[x[i]] ^ s[r[j]]
                 equal += 64 // BITS - np.bitwise_count((differ | (differ >> U(1))) & ODD).astype(np.int64)
             chance = 2.0 ** -BITS
-            good = (equal / HASHES - chance) / (1 - chance) >= ESTIMATE
+            good = (equal / SIGNED - chance) / (1 - chance) >= ESTIMATE
             yield x[i[good]], r[j[good]]
 
 

@@ -35,6 +35,14 @@ def texts(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` does not have, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_remainder(modulus: int) -> Column:
     """crc32 of the id as text, by modulus; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from .common import free_name
 
 # Titles and common first names by gender.
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Señor Señora Sr Sra Signor Signora".split()
@@ -317,12 +318,14 @@ def surrogates(text: Column, using: Replacer) -> Column:
     return run(text)
 
 
-def anonymize(docs: DataFrame, key: str) -> DataFrame:
-    """All columns of `docs`, with surrogates in `text`, and `n_entities`; `n_chars`, where
-    there is one, is that of the new text."""
-    done = docs.withColumn("_new", surrogates(F.col("text"), replacer(docs, key)))
-    columns = {"text": F.col("_new.text"), "n_entities": F.col("_new.n_entities")}
+def anonymize(docs: DataFrame, key: str, count_column: str = "n_entities") -> DataFrame:
+    """All columns of `docs`, with surrogates in `text`, and their number in `count_column`;
+    `n_chars`, where there is one, is that of the new text."""
+    new = free_name(docs, "_new")
+    done = docs.withColumn(new, surrogates(F.col("text"), replacer(docs, key)))
+    made = F.col(new)
+    columns = {"text": made["text"], count_column: made["n_entities"]}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_new.n_entities") > 0, F.length("_new.text").cast(
+        columns["n_chars"] = F.when(made["n_entities"] > 0, F.length(made["text"]).cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return done.withColumns(columns).drop("_new")
+    return done.withColumns(columns).drop(new)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -59,12 +60,12 @@ class Scratch:
 
     def keep(self, df: DataFrame, label: str = "result") -> DataFrame:
         """Store `df` for the surrounding scope."""
-        at = _scopes.index(self)
-        inner, _scopes[at:] = _scopes[at:], []
+        at = _scopes.open.index(self)
+        inner, _scopes.open[at:] = _scopes.open[at:], []
         try:
             return materialize(df, label)
         finally:
-            _scopes.extend(inner)
+            _scopes.open.extend(inner)
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete stored tables of this scope that nothing reads any more."""
@@ -74,7 +75,14 @@ class Scratch:
             self.paths.remove(path)
 
 
-_scopes: list[Scratch] = []      # the innermost last
+class _Scopes(threading.local):
+    """Open scopes of a thread, the innermost last."""
+
+    def __init__(self):
+        self.open: list[Scratch] = []
+
+
+_scopes = _Scopes()
 
 
 @contextlib.contextmanager
@@ -84,11 +92,11 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
     A result has to be stored by `keep` before, since Spark reads tables only when they are asked for.
     """
     scope = Scratch()
-    _scopes.append(scope)
+    _scopes.open.append(scope)
     try:
         yield scope
     finally:
-        _scopes.remove(scope)
+        _scopes.open.remove(scope)
         for path in scope.paths:
             delete_path(spark, path)
 
@@ -108,7 +116,7 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    if _scopes:
-        _scopes[-1].paths.append(path)
+    if _scopes.open:
+        _scopes.open[-1].paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

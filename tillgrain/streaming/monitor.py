@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import scratch_path
+from ..session import scratch, scratch_path
+from .upsert import Keyed, Store
 
 WATERMARK = "10 minutes"
 
@@ -102,7 +103,8 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     """Run a streaming aggregate over all data available now; return its final state.
 
     Every batch overwrites one stored table with the complete result, so a repeated
-    batch after a failure changes nothing and nothing passes through the driver.
+    batch after a failure changes nothing and nothing passes through the driver.  This is
+    for results of a few rows without windows; windows go through `run_windows`.
     """
     spark = stream.sparkSession
     path, checkpoint = scratch_path(spark, label), scratch_path(spark, f"{label}-progress")
@@ -114,3 +116,47 @@ def run_to_table(stream: DataFrame, label: str) -> DataFrame:
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
+
+
+def window_table(keys: list[str], values: list[str]) -> Keyed:
+    """The stored results of a windowed aggregate, a bucket per day of `start`."""
+    # Of two results for a window the later one counts: its batch saw more requests.
+    def latest(column):
+        return F.max_by(column, "batch")
+    return Keyed("windows", keys, F.date_format("start", "yyyy-MM-dd"),
+                 {**{v: latest for v in values}, "batch": F.max})
+
+
+def start_windows(stream: DataFrame, keys: list[str], root: str):
+    """Write a windowed aggregate in update mode to a store under `root`.
+
+    A batch brings only the windows it has changed; these replace their earlier results, by key,
+    and all others are left as they are.  A repeated batch starts from the version before it, so it
+    changes nothing.  The state of the stream ends with the watermark, the store keeps all windows.
+    """
+    table = window_table(keys, [c for c in stream.columns if c not in keys])
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        store = Store(batch.sparkSession, root)
+        update = store.begin(batch_id)
+        with scratch(batch.sparkSession):
+            update.upsert(table, batch.withColumn("batch", F.lit(batch_id).cast("long")))
+        update.commit()
+        store.vacuum()
+
+    return (stream.writeStream.outputMode("update").foreachBatch(merge)
+            .option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start())
+
+
+def stored_windows(spark: SparkSession, root: str, stream: DataFrame) -> DataFrame:
+    """The newest result of every window."""
+    found = Store(spark, root).read("windows")
+    return spark.createDataFrame([], stream.schema) if found is None else found.select(*stream.columns)
+
+
+def run_windows(stream: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Run a windowed aggregate over all data available now; return its windows."""
+    spark = stream.sparkSession
+    root = scratch_path(spark, label)
+    start_windows(stream, keys, root).awaitTermination()
+    return stored_windows(spark, root, stream)

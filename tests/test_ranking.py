@@ -86,3 +86,35 @@ def test_attach_keeps_hot_null_and_unknown_keys(spark, monkeypatch, broadcast_ro
     plain = rows.join(lookup.select("key", "size"), "key", "left").select("id", "key", "size")
     assert got.exceptAll(plain).count() == 0
     assert got.filter("key = 'hot'").select("size").distinct().collect()[0][0] == 1000
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 100])
+def test_half_split_by_a_range_of_the_leading_column(spark, limit):
+    from tillgrain.sources.store import half_split
+    pdf = skewed(1001)                       # the middle value is that of a third of the rows
+    df = materialize(spark.createDataFrame(pdf))
+    first, rest = half_split(df, ["v", "k"], limit)
+    ordered = pdf.sort_values(["v", "k"])["k"].tolist()
+    assert sorted(r["k"] for r in first.collect()) == sorted(ordered[:500])
+    assert sorted(r["k"] for r in rest.collect()) == sorted(ordered[500:])
+    for part in (first, rest):
+        plan = part._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "PushedFilters: [" in plan and "ThanOrEqual(v," in plan.replace("LessThan(v", "")
+    unknown = spark.createDataFrame([(None, f"n{k}") for k in range(5)] + [(1.0, "a"), (2.0, "b"), (2.0, "c")],
+                                    "v double, k string")
+    first, rest = half_split(unknown, ["v", "k"], limit)
+    assert sorted(r["k"] for r in first.collect()) == ["n0", "n1", "n2", "n3"] and rest.count() == 4
+    first, rest = half_split(unknown.filter("k in ('n0', 'a', 'b', 'c')"), ["v", "k"], limit)
+    assert sorted(r["k"] for r in first.collect()) == ["a", "n0"]
+    first, rest = half_split(unknown.limit(0), ["v", "k"], limit)
+    assert first.count() == rest.count() == 0
+
+
+def test_plans_do_not_grow_with_the_ranges(spark):
+    sizes = set()
+    for n in (400, 4000):
+        df = materialize(spark.createDataFrame(skewed(n)))
+        plan = rk.with_row_rank(df, ["v", "k"], "n", limit=10)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.add(plan.count("0.5") + plan.count("array("))
+    assert sizes == {0}

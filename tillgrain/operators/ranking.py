@@ -212,13 +212,23 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]],
     return out
 
 
+def _ranged(table: DataFrame, order: list[str]) -> DataFrame:
+    """`table` stored in consecutive ranges of an order, numbered by `_range`.
+
+    Spark samples the cuts, so neither the plan nor what reaches the driver grows with the
+    rows.  Rows that are equal in the order share a range.
+    """
+    columns = [F.col(f"`{n}`") for n in order]
+    return materialize(table.repartitionByRange(*columns).withColumn("_range", F.spark_partition_id()), "ranged")
+
+
 def running_totals(table: DataFrame, by: str, totals: list[str], group: str | None = None,
                    limit: int = SMALL) -> DataFrame:
     """`table` plus, for each column of `totals`, its sum over all smaller `by`.
 
     `by` must be unique within `group`.  Added columns: `<total>_before`, and
     `next_value`, the following `by` of the group.  A table beyond `limit` rows is
-    cut into value ranges that are summed on their own and then shifted by the
+    sorted into value ranges that are summed on their own and then shifted by the
     totals of the ranges below.
     """
     keys = [group] if group else []
@@ -229,15 +239,8 @@ def running_totals(table: DataFrame, by: str, totals: list[str], group: str | No
         return table.withColumns(
             {f"{t}_before": F.coalesce(F.sum(t).over(before), F.lit(0).cast("long")) for t in totals}
             | {"next_value": F.lead(by).over(span)})
-    table = materialize(table, "ordered")
-    ranges = max(2, math.ceil(4 * n / limit))
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = table.groupBy(*keys).agg(
-        F.percentile_approx(by, shares, max(10_000, 10 * ranges)).alias("_cuts"))
-    ranged = (table.join(cuts, keys, "left") if keys else table.crossJoin(cuts))
-    ranged = materialize(ranged.withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(by)))).drop("_cuts"), "ranged")
-    # One row per range: small by construction.
+    ranged = _ranged(table, [*keys, by])
+    # One row per range and group at most.
     sums = ranged.groupBy(*keys, "_range").agg(
         *[F.sum(t).alias(f"_{t}") for t in totals], F.min(by).alias("_first"))
     below = W.partitionBy(*keys).orderBy("_range")
@@ -289,24 +292,14 @@ def with_average_rank(df: DataFrame, column: str, out: str, descending: bool = F
 def with_row_rank(df: DataFrame, by: list[str], out: str, limit: int = SMALL) -> DataFrame:
     """Number all rows 1..n in the order of `by` (a total order of the rows).
 
-    The order is cut into ranges at sampled keys; each range is numbered by its
-    own task and shifted by the rows in the ranges below.
+    Beyond `limit` rows they are sorted into ranges of the order; each range is numbered
+    on its own and shifted by the rows in the ranges below.
     """
     columns = [F.col(f"`{n}`") for n in by]
     n = df.count()
     if n <= limit:
         return df.withColumn(out, F.row_number().over(W.orderBy(*columns)).cast("long"))
-    df = materialize(df, "rows")
-    ranges = math.ceil(4 * n / limit)
-    sample = (df.select(*columns).sample(False, min(1.0, 40 * ranges / n), seed=1)
-              .distinct().orderBy(*columns).collect())
-    step = max(1, len(sample) // ranges)
-    cuts = [tuple(r) for r in sample[::step]]
-    # Ranges are found by comparing with one literal array of boundary keys.
-    bounds = F.array(*[_literal_key(df, by, cut) for cut in cuts])
-    key = _key(by)
-    ranged = materialize(df.withColumn("_range", F.size(F.filter(bounds, lambda c: c < key))),
-                         "ranged")
+    ranged = _ranged(df, by)
     below = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_range").agg(F.count("*").alias("_n"))
                .withColumn("_offset", F.coalesce(F.sum("_n").over(below), F.lit(0).cast("long")))
@@ -317,6 +310,32 @@ def with_row_rank(df: DataFrame, by: list[str], out: str, limit: int = SMALL) ->
             .drop("_range", "_offset"))
 
 
+def split_rules(df: DataFrame, by: list[str], count: int, limit: int = SMALL) -> tuple[Column, Column]:
+    """Predicates for the first `count` rows in the order of `by`, and for the others.
+
+    One pass counts the rows per value of the leading column, which is all it reads; whole
+    keys are compared only where that column has the value at the cut.  So either predicate
+    has a bound of the leading column, which file scans use.
+    """
+    if count <= 0:
+        return F.lit(False), F.lit(True)
+    lead = F.col(f"`{by[0]}`")
+    counts = materialize(df.groupBy(lead).agg(F.count("*").alias("n")), "lead-counts")
+    cut = select_ranks(counts, [by[0]], [count], "n", limit)[0]
+    value, inside = cut["key"][0], count - cut["before"]
+    if value is None:                                     # the cut lies among rows without a value
+        rule = rank_at_most(df, by, count, limit)
+        return rule, ~F.coalesce(rule, F.lit(False))
+    until = F.lit(value).cast(df.schema[by[0]].dataType)
+    first, rest = lead <= until, lead > until
+    if inside < cut["equal"]:
+        before = (lead < until) | rank_at_most(df.filter(lead == until), by, inside, limit)
+        first, rest = first & before, (lead >= until) & ~before
+    if not counts.filter(lead.isNull()).isEmpty():        # null comes first
+        first = first | lead.isNull()
+    return first, rest
+
+
 def rank_at_most(df: DataFrame, by: list[str], count: int, limit: int = SMALL) -> Column | None:
     """A predicate that keeps the first `count` rows in the order of `by`.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.ranking import SMALL, rank_at_most
+from ..operators.ranking import SMALL, split_rules
 from ..schema import ROW_ORDER
 from .ingest import path_exists
 
@@ -70,11 +70,11 @@ def half_split(df: DataFrame, order: list[str] = ROW_ORDER, limit: int = SMALL
                ) -> tuple[DataFrame, DataFrame]:
     """First half and rest of the rows, in row order.
 
-    The middle row is selected and compared with; nothing is sorted as a whole.
+    The split is a range of the leading column (the date), which reaches the file scan;
+    only rows at its very end are compared by their whole keys.  Nothing is sorted as a whole.
     """
-    half = df.count() // 2
-    first = rank_at_most(df, order, half, limit)
-    return df.filter(first), df.filter(~first)
+    first, rest = split_rules(df, order, df.count() // 2, limit)
+    return df.filter(first), df.filter(rest)
 
 
 def reference_snapshot(features: DataFrame, path: str) -> DataFrame:

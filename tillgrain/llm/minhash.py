@@ -304,7 +304,9 @@ def _between(placed: DataFrame, components: DataFrame, sketches: DataFrame, text
     dealt = materialize(left.unionByName(right).withColumn("block", block).select(*keep), "dealt")
     signed = dealt.join(signs, "rep").select(*keep, *[f"sign{w}" for w in range(WORDS)])
     near = materialize(signed.groupBy("block").applyInPandas(_met, signed.schema), "near")
-    held = near.select(F.col("block").alias("meeting"), F.col("rep").alias("doc_id")).distinct().join(texts, "doc_id")
+    ids = materialize(near.select(F.col("rep").alias("doc_id")).distinct(), "near-ids")
+    few = materialize(texts.join(hinted(ids, ids.count()), "doc_id", "left_semi"), "near-texts")
+    held = near.select(F.col("block").alias("meeting"), F.col("rep").alias("doc_id")).distinct().join(few, "doc_id")
     return near.groupBy("block").cogroup(held.groupBy("meeting")).applyInPandas(_linked, "member long, pivot long")
 
 

@@ -5,8 +5,8 @@ order 4; the models of all languages share one sorted array of n-gram hashes per
 a row of log probabilities (or back-off weights) per entry.  The language with the lowest
 cross-entropy per character wins.
 
-The models are learned from a bounded sample: FIT_CHARS characters per language at most,
-from texts cut to DOC_CHARS, chosen by a hash of the id.  Another bounded sample
+The models are learned from a bounded sample: about FIT_CHARS characters per language
+from whole texts, chosen by a hash of the id.  Another bounded sample
 (CHECK_DOCS per language) calibrates the score (a logistic of the log-likelihood margin)
 and the rejection: a text whose cross-entropy lies far above that of its language's known
 texts, or that has no letter, is rejected.
@@ -24,7 +24,6 @@ from .arrays import U, mix
 
 ORDER = 4
 FIT_CHARS = 2_000_000
-DOC_CHARS = 20_000
 CHECK_DOCS = 400
 SHARES = 1_000_003
 REJECT = 12.0            # standard deviations
@@ -41,7 +40,10 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         code = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
         high = code >> 16
         low = (code & 0xFFFF).astype(np.uint16) ^ (high * 0x9E37).astype(np.uint16)
-        letter = np.where(high == 0, _is_letter[code & 0xFFFF], high > 0)
+        letter = np.where(high == 0, _is_letter[code & 0xFFFF], False)
+        if high.any():
+            far, of = np.unique(code[high > 0], return_inverse=True)
+            letter[high > 0] = np.array([chr(c).isalpha() for c in far.tolist()])[of]
         low = np.where(letter, np.where(low == 32, 33, low), 32)
         keep = letter.copy()
         keep[1:] |= letter[:-1]                     # the first gap after a letter
@@ -209,13 +211,13 @@ def fit(labelled: DataFrame) -> Detector:
         "lang is not null and text is not null")
     place = F.pmod(F.col("place"), F.lit(SHARES))
     sizes = rows.groupBy("lang").agg(
-        F.sum(F.least(F.length("text"), F.lit(DOC_CHARS))).alias("chars"), F.count("*").alias("n"))
+        F.sum(F.length("text")).alias("chars"), F.count("*").alias("n"))
     bounds = sizes.select(
         F.col("lang").alias("b_lang"),
         (SHARES * F.least(F.lit(0.8), FIT_CHARS / F.greatest("chars", F.lit(1)))).alias("fit"),
         (SHARES * (1 - F.least(F.lit(0.2), CHECK_DOCS / F.col("n")))).alias("check"))
     chosen = rows.join(F.broadcast(bounds), F.col("lang") == F.col("b_lang")).select(
-        "lang", F.substring("text", 1, DOC_CHARS).alias("text"),
+        "lang", "text",
         (place < F.col("fit")).alias("fits"), (place >= F.col("check")).alias("checks"))
     found = chosen.filter("fits").select("lang", "text").mapInPandas(
         _count, "lang string, key long, n long").groupBy("lang", "key").agg(

@@ -3,8 +3,8 @@
 The library's pre-tokenizers never join what a single space or a run of line feeds between
 two visible characters separates, nor a letter and the punctuation that ends its word, so
 the ids of a text are those of such pieces in a row.  A piece is encoded by the library
-once; its ids are kept under its 64-bit hash.  A text whose spacing does not allow the split
-is encoded by the library as a whole.
+once; its ids are kept under its 64-bit hash.  A text whose spacing does not allow the split, or
+which may hold an added token of the file, is encoded by the library as a whole.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         # Byte-level files put a space into the word that follows; others drop it.
         self.spaced = len(self._whole("\n")) > 0
+        # Added tokens are cut out before the patterns apply, so that a run of line feeds may end there.
+        self.added = sorted({t.content[:2] for t in self.library.get_added_tokens_decoder().values()})
         names = self.library.get_vocab(with_added_tokens=True)
         self.begins = np.zeros(max(names.values()) + 1, bool)
         self.ends = np.zeros(max(names.values()) + 1, bool)
@@ -75,6 +77,8 @@ class Encoder:
         return out
 
     def _splits(self, text: str) -> bool:
+        if any(mark in text for mark in self.added):
+            return False
         if not self.spaced:
             return True
         return bool(text) and not (

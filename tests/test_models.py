@@ -130,7 +130,7 @@ def test_kmeans_and_names(spark):
         pdf[c] = np.repeat([0.0, 5.0, 10.0], 30) + rng.normal(size=90) * 0.1 + i
     scaled = materialize(sg.standard_scale(spark.createDataFrame(pdf)))
     settings = Settings(kmeans_clusters=3)
-    costs = [sg.fit_kmeans(scaled, settings, starts=s).summary.trainingCost for s in (1, 3)]
+    costs = [sg.fit_kmeans(scaled, settings, starts=s).cost for s in (1, 3)]
     assert costs[1] <= costs[0] + 1e-9
     named = sg.name_clusters(sg.assign_kmeans(sg.fit_kmeans(scaled, settings, starts=2), scaled)).toPandas()
     assert named.groupby("KMeansSegment").size().tolist() == [30, 30, 30]

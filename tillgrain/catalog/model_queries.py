@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from ..operators.kmeans import Centres
 from ..operators import (attribution, churn, dbscan, drift, evaluate, features as ft, forecast as fc,
                          segment as sg)
 from ..plans import training
@@ -19,7 +20,7 @@ from .spec import Query
 
 # Smaller models than the defaults keep the checks short; the data are whole.
 SMALL = replace(DEFAULTS, churn_trees=12, churn_depth=4, churn_rate=0.2, boost_trees=15, boost_depth=4,
-                boost_rate=0.2, kmeans_starts=3)
+                boost_rate=0.2)
 
 
 # ---- forecasting -----------------------------------------------------------------
@@ -66,7 +67,29 @@ def trend_forecast(spark, sf):
 
 
 def hybrid(spark, sf):
-    return remembered(spark, sf, "hybrid", lambda: training.fit_forecaster(series_all(spark, sf), SMALL))
+    return remembered(spark, sf, "hybrid", lambda: training.fit_forecaster(series_by_country(spark, sf), SMALL))
+
+
+def boosted_dates(spark, sf):
+    """Answered days where one series is too short for any lag on its test days."""
+    series = series_by_country(spark, sf)
+    first = series.agg(F.min("series")).scalar()
+    place = F.row_number().over(Window.partitionBy("series").orderBy("ds"))
+    cut = materialize(series.withColumn("_first", F.col("series") == first).withColumn("_k", place).filter(
+        "not _first OR _k <= 30"), "cut")
+    days = cut.filter("_first AND _k > 25").select("series", "ds").unionByName(
+        test_days(spark, sf).filter(F.col("series") != first))
+    # Its last days have no lags: the rows of these days are taken away.
+    frame = materialize(fc.supervised_frame(cut.select("series", "ds", "y")).join(
+        cut.filter("_first AND _k > 25").select("series", "ds"), ["series", "ds"], "left_anti"), "supervised")
+    found = fc.boosted_lag_forecast(frame, days, hybrid(spark, sf).boosted)
+    return found.groupBy("series", "ds").agg(F.count("yhat").alias("answers"))
+
+
+def recurrent_facts(spark, sf):
+    losses = hybrid(spark, sf).sequence.losses
+    return spark.createDataFrame([("sequence", "training error", int(min(losses) <= losses[0]))],
+                                 "model string, metric string, not_worse int")
 
 
 SERIES_SQL = """fday AS (SELECT KEY AS series, sales_date AS ds, CAST(sum(CAST("TotalAmount" AS DECIMAL(18,6))) AS DOUBLE) AS v
@@ -115,7 +138,7 @@ SCALED = [f"{c}_scaled" for c in sg.RFM]
 
 
 def kmeans(spark, sf):
-    return remembered(spark, sf, "kmeans", lambda: sg.fit_kmeans(scaled_rfm(spark, sf), SMALL))
+    return remembered(spark, sf, "kmeans", lambda: sg.fit_kmeans(scaled_rfm(spark, sf)))
 
 
 def clustered(spark, sf):
@@ -123,10 +146,39 @@ def clustered(spark, sf):
 
 
 def kmeans_model_round_trip(spark, sf):
-    from pyspark.ml.clustering import KMeansModel
     path = scratch_path(spark, "kmeans")
-    churn.save_model(kmeans(spark, sf), path)
-    return sg.assign_kmeans(KMeansModel.load(path), scaled_rfm(spark, sf))
+    kmeans(spark, sf).save(spark, path)
+    return sg.assign_kmeans(Centres.load(spark, path), scaled_rfm(spark, sf))
+
+
+def nearest_means(spark, sf):
+    """Customers, and those that are nearer to the mean of another cluster than to that of their own."""
+    assigned = clustered(spark, sf)
+    means = assigned.groupBy("cluster").agg(*[F.avg(c).alias(f"{c}_mean") for c in SCALED])     # six rows
+    away = sum((F.col(c) - F.col(f"{c}_mean")) ** 2 for c in SCALED)
+    beside = assigned.select("Customer ID", F.col("cluster").alias("own"), *SCALED).join(F.broadcast(means)).withColumn(
+        "away", F.round(away, 6))
+    own = F.max(F.when(F.col("own") == F.col("cluster"), F.col("away")))
+    return beside.groupBy("Customer ID").agg((own > F.min("away")).cast("int").alias("_far")).agg(
+        F.count("*").alias("customers"), F.sum("_far").alias("misplaced"))
+
+
+def silhouette_of_given(spark, sf):
+    """Clusters given by the length of the id."""
+    rows = scaled_rfm(spark, sf).withColumn("cluster", (F.length("Customer ID") % 3).cast("int"))
+    return store.metrics_frame(spark, {"given": {"silhouette": sg.silhouette(rows)}})
+
+
+def forecast_facts(spark, sf, forecast, days):
+    """Per series: asked days, days with a forecast, and days whose interval holds the forecast in its order."""
+    joined = days.join(forecast, ["series", "ds"], "left")
+    return joined.groupBy("series").agg(
+        F.count("*").alias("asked"), F.count("yhat").alias("answered"),
+        F.count_if((F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).alias("ordered"))
+
+
+def test_days(spark, sf):
+    return split_days(spark, sf).filter("part = 'test'").select("series", "ds")
 
 
 def silhouette(spark, sf):
@@ -340,6 +392,36 @@ RESULT
         f"""WITH {RFM_SQL}
 RESULT
         SELECT id AS "Customer ID", x AS recency_scaled, y AS frequency_scaled, z AS monetary_scaled FROM scaled"""),
+    "f04_intervals": Query("series:s, asked:i, answered:i, ordered:i",
+        lambda s, d: forecast_facts(s, d, trend_forecast(s, d), test_days(s, d)), f"""
+        WITH {COUNTRY_SQL}, {SPLIT_SQL}
+RESULT
+        SELECT series, count(*) AS asked, count(*) AS answered, count(*) AS ordered FROM fsplit WHERE part = 'test' GROUP BY series"""),
+    "f10_intervals": Query("series:s, asked:i, answered:i, ordered:i",
+        lambda s, d: forecast_facts(s, d, fc.future_forecast(series_by_country(s, d)),
+                                    fc.future_days(series_by_country(s, d), 30)), f"""
+        WITH {COUNTRY_SQL}
+RESULT
+        SELECT DISTINCT series, 30 AS asked, 30 AS answered, 30 AS ordered FROM fser"""),
+    "f05_short_series": Query("series:s, ds:d, answers:i", boosted_dates, f"""
+        WITH {COUNTRY_SQL}, {SPLIT_SQL}, fcut AS (SELECT series, ds, row_number() OVER (PARTITION BY series ORDER BY ds) AS k FROM fser)
+RESULT
+        SELECT series, ds, 1 AS answers FROM fcut WHERE series IN (SELECT series FROM fcut ORDER BY series LIMIT 1) AND k <= 30 AND k > 25
+        UNION ALL SELECT series, ds, 1 FROM fsplit WHERE part = 'test'
+          AND series NOT IN (SELECT series FROM fcut ORDER BY series LIMIT 1)"""),
+    "f06_recurrent_against_linear": Query("model:s, metric:s, not_worse:i", recurrent_facts, """
+        SELECT 'sequence' AS model, 'training error' AS metric, 1 AS not_worse"""),
+    "m02_nearest_means": Query("customers:i, misplaced:i", nearest_means, """
+        SELECT count(*) AS customers, 0 AS misplaced FROM cust"""),
+    "m03_silhouette_of_given": Query("model:s, metric:s, value:6", silhouette_of_given, f"""WITH {RFM_SQL},
+  given AS (SELECT *, len(id) % 3 AS c FROM scaled),
+  far AS (SELECT a.id, a.c AS own, b.c AS other, sum((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS total, count(*) AS n
+    FROM given a JOIN given b ON true GROUP BY ALL),
+  inner_ AS (SELECT id, CASE WHEN n > 1 THEN total / (n - 1) END AS a FROM far WHERE own = other),
+  outer_ AS (SELECT id, min(total / n) AS b FROM far WHERE own <> other GROUP BY id)
+RESULT
+        SELECT 'given' AS model, 'silhouette' AS metric, avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS value
+        FROM inner_ JOIN outer_ USING (id)"""),
     "m02_kmeans": Query("Customer ID:s, cluster:i", clustered),
     "m03_silhouette": Query("model:s, metric:s, value:6", silhouette),
     "m04_core_points": Query("id:s, is_core:i", core_points, f"""WITH {DENSITY_SQL}

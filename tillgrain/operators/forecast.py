@@ -7,11 +7,7 @@ over the cluster.
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -19,16 +15,16 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.scalars import exact_sum
 from ..schema import DEFAULTS, Settings
+from ..session import materialize
 from .calendar import fill_calendar
 from .features import daily_sales, rolling_mean
+from .recurrent import RecurrentModel, fit_recurrent
+from .trend import fit_and_predict
 
 LAGS = (1, 7, 14)
 LAG_FEATURES = ["lag_1", "lag_7", "lag_14", "rolling_7", "rolling_30", "day_of_week", "month"]
 ALL = "all"
 
-# Executors need not have this package: its functions travel with the task.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 # ---- frames --------------------------------------------------------------------
 
@@ -68,54 +64,15 @@ def chronological_split(series: DataFrame, share: float = DEFAULTS.train_share)
 
 # ---- trend and seasonality -----------------------------------------------------
 
-def _design(days: np.ndarray, start: float, span: float, knots: np.ndarray) -> np.ndarray:
-    t = (days - start) / span
-    columns = [np.ones_like(t), t]
-    columns += [np.maximum(t - k, 0.0) for k in knots]
-    for period, order in ((365.25, 10), (7.0, 3)):
-        for i in range(1, order + 1):
-            columns += [np.sin(2 * np.pi * i * days / period), np.cos(2 * np.pi * i * days / period)]
-    return np.column_stack(columns)
-
-
-def _trend_season(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Ridge fit of one series on its known rows; prediction of the rows without y."""
-    pdf = pdf.sort_values("ds")
-    day = pd.to_datetime(pdf["ds"]).to_numpy().astype("datetime64[D]").astype(float)
-    known = pdf["y"].notna().to_numpy()
-    wanted = ~known
-    out = pdf.loc[wanted, ["series", "ds"]].copy()
-    if not known.any():
-        out["yhat"] = out["yhat_lower"] = out["yhat_upper"] = np.nan
-        return out
-    y = pdf["y"].to_numpy()[known]
-    start, span = day[known].min(), max(day[known].max() - day[known].min(), 1.0)
-    n_knots = int(min(25, max(0, known.sum() // 20)))
-    knots = np.linspace(0, 0.8, n_knots + 1)[1:] if n_knots else np.array([])
-    x = _design(day, start, span, knots)
-    scale = max(np.abs(y).max(), 1e-9)
-    penalty = np.full(x.shape[1], 0.1)     # seasonal terms
-    penalty[:2] = 1e-6                     # level and slope
-    penalty[2:2 + n_knots] = 20.0          # changes of slope
-    a = x[known]
-    beta = np.linalg.solve(a.T @ a + np.diag(penalty), a.T @ (y / scale))
-    fitted = x @ beta * scale
-    spread = 1.2816 * np.std(y - fitted[known])   # 80 % interval
-    out["yhat"] = fitted[wanted]
-    out["yhat_lower"] = out["yhat"] - spread
-    out["yhat_upper"] = out["yhat"] + spread
-    return out
-
-
 def trend_season_forecast(series: DataFrame, days: DataFrame) -> DataFrame:
-    """Fit each series and predict the (series, ds) rows of `days` with an interval.
+    """Fit each series and predict the (series, ds) rows of `days` with an 80 % interval.
 
-    Linear trend with slope changes, yearly and weekly seasonality, solved per series.
+    Linear trend with few slope changes, yearly and weekly seasonality (see `trend`).
     """
     known = series.select("series", "ds", F.col("y").cast("double").alias("y"))
     both = known.unionByName(days.select("series", "ds", F.lit(None).cast("double").alias("y")))
     return both.groupBy("series").applyInPandas(
-        _trend_season, "series string, ds date, yhat double, yhat_lower double, yhat_upper double")
+        fit_and_predict, "series string, ds date, yhat double, yhat_lower double, yhat_upper double")
 
 
 def future_days(series: DataFrame, horizon: int, origin: str = "last",
@@ -158,15 +115,17 @@ def boosted_lag_forecast(supervised: DataFrame, test_days: DataFrame, model) ->
     """Predictions on the test days; on the last rows of a series when none survive.
 
     `test_days` has (series, ds).  Series are handled one by one: a series without
-    any supervised test row answers with as many of its last rows as it has days.
+    any supervised test row answers with as many of its last rows as it has days, under the
+    asked days in their order.
     """
-    asked = test_days.groupBy("series").agg(F.count("*").alias("_asked"))
+    asked = test_days.groupBy("series").agg(F.count("*").alias("_asked"), F.sort_array(F.collect_list("ds")).alias("_days"))
     marked = supervised.join(test_days.withColumn("_test", F.lit(True)), ["series", "ds"], "left")
     whole = W.partitionBy("series")
     marked = marked.withColumns({
         "_hits": F.count("_test").over(whole),
         "_back": F.row_number().over(whole.orderBy(F.desc("ds")))}).join(asked, "series")
-    rows = marked.filter(F.col("_test") | ((F.col("_hits") == 0) & (F.col("_back") <= F.col("_asked"))))
+    rows = marked.filter(F.col("_test") | ((F.col("_hits") == 0) & (F.col("_back") <= F.col("_asked")))).withColumn(
+        "ds", F.when(F.col("_test"), F.col("ds")).otherwise(F.get("_days", (F.col("_asked") - F.col("_back")).cast("int"))))
     rows = VectorAssembler(inputCols=LAG_FEATURES, outputCol="features").transform(rows)
     return model.transform(rows).select("series", "ds", F.col("prediction").alias("yhat"))
 
@@ -183,18 +142,29 @@ def sequence_frame(series: DataFrame, length: int = DEFAULTS.sequence_length) ->
             .filter(F.size("lags") == length))
 
 
-def sequence_model(train: DataFrame):
+def linear_map(train: DataFrame) -> tuple[np.ndarray, float]:
     """Linear map from the scaled lags to the next scaled value, pooled over series."""
     rows = train.select(array_to_vector("lags").alias("features"), F.col("scaled").alias("label"))
-    return LinearRegression(regParam=1e-4).fit(rows)
+    fitted = LinearRegression(regParam=1e-4).fit(rows)
+    return fitted.coefficients.toArray(), float(fitted.intercept)
+
+
+def sequence_model(train: DataFrame, settings: Settings = DEFAULTS) -> RecurrentModel:
+    """A recurrent network over the scaled lags, pooled over series; it starts as the linear map."""
+    rows = materialize(train.select("series", "ds", "lags", F.col("scaled").alias("target"))
+                       .repartitionByRange("series", "ds").sortWithinPartitions("series", "ds")
+                       .select("lags", "target"), "sequences")
+    if rows.isEmpty():
+        return fit_recurrent(rows, np.zeros(settings.sequence_length), 0.0, settings.sequence_hidden, 0, 0.0, settings.seed)
+    skip, level = linear_map(train)
+    return fit_recurrent(rows, skip, level, settings.sequence_hidden, settings.sequence_epochs,
+                         settings.sequence_rate, settings.seed)
 
 
-def sequence_forecast(frame: DataFrame, test_days: DataFrame, model) -> DataFrame:
+def sequence_forecast(frame: DataFrame, test_days: DataFrame, model: RecurrentModel) -> DataFrame:
     """Next-day predictions on the test days, scaled back."""
     rows = frame.join(test_days.select("series", "ds"), ["series", "ds"], "left_semi")
-    rows = model.transform(rows.withColumn("features", array_to_vector("lags")))
-    return rows.select("series", "ds",
-                       (F.col("prediction") * F.col("_width") + F.col("_low")).alias("yhat"))
+    return rows.select("series", "ds", (model.predict(F.col("lags")) * F.col("_width") + F.col("_low")).alias("yhat"))
 
 
 # ---- evaluation and blending -----------------------------------------------------
@@ -217,11 +187,12 @@ def guarded_errors(pairs: DataFrame, keys: list[str]) -> DataFrame:
 def ensemble_weights(errors: DataFrame) -> DataFrame:
     """Weight per (series, model), inverse to its MAPE (at least 1 %).
 
-    A model without a MAPE made no predictions and gets no weight.
+    A model without a MAPE made no predictions and gets no weight.  Where every error is
+    infinite, all weights are 0.
     """
     inverse = errors.filter(F.col("mape").isNotNull()).withColumn("_inverse", 1 / F.greatest("mape", F.lit(1.0)))
     return inverse.withColumn(
-        "weight", F.col("_inverse") / F.sum("_inverse").over(W.partitionBy("series"))
+        "weight", F.coalesce(F.try_divide("_inverse", F.sum("_inverse").over(W.partitionBy("series"))), F.lit(0.0))
     ).select("series", "model", "mape", "weight")
 
 

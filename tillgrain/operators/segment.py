@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..schema import DEFAULTS, Settings
+from .kmeans import Centres, fit_starts
 
 RFM = ["recency", "frequency", "monetary"]
 SCALE_DIGITS = 9
@@ -34,29 +34,21 @@ def standard_scale(df: DataFrame, columns: list[str] = RFM, suffix: str = "_scal
     return out.drop(*[f"{c}_mean" for c in columns], *[f"{c}_sd" for c in columns])
 
 
-def _vectors(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=[f"{c}_scaled" for c in RFM], outputCol="features").transform(scaled)
+def fit_kmeans(scaled: DataFrame, settings: Settings = DEFAULTS, starts: int | None = None,
+               key: str = "Customer ID") -> Centres:
+    """The best of several starts by cost; all starts share every pass over the rows."""
+    return fit_starts(scaled, [f"{c}_scaled" for c in RFM], settings.kmeans_clusters,
+                      starts or settings.kmeans_starts, settings.seed, key)
 
 
-def fit_kmeans(scaled: DataFrame, settings: Settings = DEFAULTS, starts: int | None = None) -> KMeansModel:
-    """Best of several seeded starts by training cost."""
-    rows = _vectors(scaled).select("features").persist()
-    best = None
-    for i in range(starts or settings.kmeans_starts):
-        model = KMeans(k=settings.kmeans_clusters, seed=settings.seed + i).fit(rows)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    rows.unpersist()
-    return best
-
-
-def assign_kmeans(model: KMeansModel, scaled: DataFrame) -> DataFrame:
-    return model.transform(_vectors(scaled)).withColumnRenamed("prediction", "cluster").drop("features")
+def assign_kmeans(model: Centres, scaled: DataFrame) -> DataFrame:
+    return model.assign(scaled)
 
 
 def silhouette(assigned: DataFrame) -> float:
     """Mean silhouette under squared Euclidean distance (linear in the rows)."""
-    return ClusteringEvaluator(predictionCol="cluster").evaluate(_vectors(assigned))
+    rows = VectorAssembler(inputCols=[f"{c}_scaled" for c in RFM], outputCol="features").transform(assigned)
+    return ClusteringEvaluator(predictionCol="cluster").evaluate(rows)
 
 
 def segment_name(number: Column) -> Column:

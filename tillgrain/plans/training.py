@@ -43,7 +43,7 @@ def fit_forecaster(series: DataFrame, settings: Settings = DEFAULTS) -> Forecast
     lags = fc.boosted_lag_forecast(frame, days, boosted)
 
     sequences = materialize(fc.sequence_frame(series, settings.sequence_length), "sequences")
-    sequence = fc.sequence_model(sequences.join(days, ["series", "ds"], "left_anti"))
+    sequence = fc.sequence_model(sequences.join(days, ["series", "ds"], "left_anti"), settings)
     steps = fc.sequence_forecast(sequences, days, sequence)
 
     named = [fc.align_predictions(days, p).withColumn("model", F.lit(name)) for name, p in
@@ -61,7 +61,8 @@ def fit_forecaster(series: DataFrame, settings: Settings = DEFAULTS) -> Forecast
 def segment_customers(lines: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """RFM matrix with k-means segment and name, and density cluster, per customer."""
     scaled = materialize(sg.standard_scale(materialize(ft.rfm_matrix(lines), "rfm")), "scaled-rfm")
-    named = sg.name_clusters(sg.assign_kmeans(sg.fit_kmeans(scaled, settings), scaled))
+    model = sg.fit_kmeans(scaled, settings)
+    named = sg.name_clusters(sg.assign_kmeans(model, scaled))
     density = dbscan.dbscan(scaled, "Customer ID", [f"{c}_scaled" for c in sg.RFM],
                             settings.dbscan_eps, settings.dbscan_min_points)
     return named.join(density.withColumnRenamed("cluster", "DBSCANSegment"), "Customer ID").select(
@@ -87,7 +88,7 @@ def run_training(raw: DataFrame, out: str, settings: Settings = DEFAULTS) -> Dat
     series = materialize(fc.daily_series(features), "series")
     forecaster = fit_forecaster(series, settings)
     churn.save_model(forecaster.boosted, os.path.join(out, "models", "boosted_lags"))
-    churn.save_model(forecaster.sequence, os.path.join(out, "models", "sequence"))
+    forecaster.sequence.save(spark, os.path.join(out, "models", "sequence"))
     future = fc.future_forecast(series, settings.forecast_horizon)
     store.write_parquet(future, os.path.join(out, "forecast"))
 

@@ -177,3 +177,26 @@ def test_models_without_predictions_get_no_weight(spark):
     predictions = spark.createDataFrame([("s", "2021-01-01", "a", 100.0)],
                                         "series string, ds string, model string, yhat double")
     assert blend(predictions, weights).first()["yhat"] == 100.0
+
+
+def test_a_search_does_not_depend_on_how_many_trials_run_at_once(spark):
+    pdf = pd.DataFrame({"Customer ID": [f"{i:03d}" for i in range(240)], "CustomerLifetimeValue": rng.normal(size=240),
+                        "PurchaseFrequency": rng.normal(size=240)})
+    pdf["ChurnFlag"] = (pdf["CustomerLifetimeValue"] + 0.5 * rng.normal(size=240) > 0).astype(int)
+    train = materialize(spark.createDataFrame(pdf))
+    one, four = (churn.search_churn(train, trials=4, trees=(2, 4), parallel=n) for n in (1, 4))
+    assert [t["roc_auc"] for t in one] == sorted((t["roc_auc"] for t in one), reverse=True)
+    same = {t["trial"]: t for t in four}
+    for trial in one:
+        other = same[trial["trial"]]
+        assert other.pop("roc_auc") == pytest.approx(trial["roc_auc"], abs=0.03)
+        assert other == {k: v for k, v in trial.items() if k != "roc_auc"}
+    assert sorted(t["trial"] for t in one) == [0, 1, 2, 3] and one[0]["roc_auc"] > 0.8
+    assert len(churn.search_trials(Settings(), 30, (200, 600))) == 30
+
+
+def test_box_of_a_column_without_values(spark):
+    from tillgrain.operators.reports import box_summary
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None)], "a double, b double")
+    found = {r["column"]: r for r in box_summary(df, ["a", "b"]).collect()}
+    assert found["a"]["median"] == 2.0 and found["b"]["median"] is None and found["b"]["outliers"] == 0

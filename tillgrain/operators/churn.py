@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..errors import ModelError
 from ..functions.scalars import available, churn_risk, fill_model_inputs
 from ..schema import CHURN_FEATURES, DEFAULTS, Settings
+from ..session import materialize
 from .evaluate import classification_report, precision, precision_at_top, roc_auc, stratified_split
 from .features import first_per_key
 
@@ -77,32 +80,42 @@ def churn_report(scored: DataFrame) -> DataFrame:
     return classification_report(called, "ChurnFlag", "_called")
 
 
+def search_trials(settings: Settings, trials: int, trees: tuple[int, int]) -> list[dict]:
+    """The parameters of all trials, drawn before any is run."""
+    draw = random.Random(settings.seed)
+    low, high = 0.01, 0.2
+    return [{"trial": k, "trees": draw.randint(*trees), "depth": draw.randint(3, 8),
+             "rate": low * (high / low) ** draw.random(),
+             "subsample": draw.uniform(0.6, 1.0), "feature_share": draw.uniform(0.6, 1.0),
+             "positive_weight": draw.uniform(1.0, 4.0)} for k in range(trials)]
+
+
 def search_churn(train: DataFrame, settings: Settings = DEFAULTS, trials: int | None = None,
-                 trees: tuple[int, int] = (200, 600), exclude_leaky: bool = False) -> list[dict]:
+                 trees: tuple[int, int] = (200, 600), exclude_leaky: bool = False, parallel: int = 4) -> list[dict]:
     """Seeded random search, scored by ROC area on an inner stratified split.
 
-    Returns all trials, best first; each holds its parameters and `roc_auc`.
+    `parallel` trials run at once, as Spark jobs of their own pools over one stored split.  Returns all
+    trials, best first; each holds its parameters and `roc_auc`.  The trials are drawn before any is run, so
+    they are the same however many run at once; their scores agree as far as Spark's floating-point sums,
+    which it adds in the order of arriving blocks, decide no tie between splits.
     """
-    draw = random.Random(settings.seed)
-    inner = stratified_split(train.drop("part"), "ChurnFlag", "Customer ID",
-                             settings.churn_test_share, settings.seed).cache()
+    spark = train.sparkSession
+    inner = materialize(stratified_split(train.drop("part"), "ChurnFlag", "Customer ID",
+                                         settings.churn_test_share, settings.seed), "search-split")
     fit_rows, check_rows = inner.filter("part = 'train'"), inner.filter("part = 'test'")
-    found = []
-    for _ in range(trials or settings.search_trials):
-        low, high = 0.01, 0.2
-        trial = {
-            "trees": draw.randint(*trees), "depth": draw.randint(3, 8),
-            "rate": low * (high / low) ** draw.random(),
-            "subsample": draw.uniform(0.6, 1.0), "feature_share": draw.uniform(0.6, 1.0),
-            "positive_weight": draw.uniform(1.0, 4.0)}
+
+    def run(trial: dict) -> dict:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{trial['trial'] % parallel}")
         chosen = replace(settings, churn_trees=trial["trees"], churn_depth=trial["depth"],
                          churn_rate=trial["rate"], churn_positive_weight=trial["positive_weight"])
         model = fit_churn(fit_rows, chosen, exclude_leaky, trial["subsample"], trial["feature_share"])
-        scored = score_churn(model, check_rows, exclude_leaky)
-        trial["roc_auc"] = roc_auc(scored, "ChurnFlag", "churn_probability").first()[0]
-        found.append(trial)
-    inner.unpersist()
-    return sorted(found, key=lambda t: -t["roc_auc"])
+        scored = materialize(score_churn(model, check_rows, exclude_leaky), "search-scores")
+        return trial | {"roc_auc": roc_auc(scored, "ChurnFlag", "churn_probability").first()[0]}
+
+    drawn = search_trials(settings, trials or settings.search_trials, trees)
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        found = list(pool.map(inheritable_thread_target(run), drawn))
+    return sorted(found, key=lambda t: (-t["roc_auc"], t["trial"]))
 
 
 def save_model(model, path: str) -> None:

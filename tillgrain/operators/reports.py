@@ -154,16 +154,14 @@ def histogram(df: DataFrame, column: str, bins: int = 50, by: list[str] | None =
 
 
 def box_summary(df: DataFrame, columns: list[str], factor: float = 1.5) -> DataFrame:
-    """Quartiles, whiskers and outlier count of each column."""
+    """Quartiles, whiskers and outlier count of each column; a column without values has nulls and 0."""
     quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in columns})
     rows = []
     for c in columns:
-        q1, median, q3 = quartiles[c]
-        low, high = q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
-        inside = F.col(c).between(low, high)
+        q1, median, q3 = (F.lit(q).cast("double") for q in quartiles[c])
+        inside = F.col(c).between(q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
         rows.append(F.struct(
-            F.lit(c).alias("column"), F.lit(q1).alias("q1"), F.lit(median).alias("median"),
-            F.lit(q3).alias("q3"), F.min(F.when(inside, F.col(c))).alias("whisker_low"),
+            F.lit(c).alias("column"), q1.alias("q1"), median.alias("median"), q3.alias("q3"), F.min(F.when(inside, F.col(c))).alias("whisker_low"),
             F.max(F.when(inside, F.col(c))).alias("whisker_high"),
             F.count_if(~inside).alias("outliers")))
     return df.agg(*[r.alias(c) for r, c in zip(rows, columns)]).select(

@@ -215,17 +215,23 @@ def _grouped(docs: DataFrame, scope: Scratch) -> DataFrame:
         .select("member", (-F.col("top.low")).alias("pivot"))
     links = confirmed(_promising(best, sketches), known)
     scope.drop(stars)
-    components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
-    # Then all others of a band, where components still differ.
-    more = _across(placed, components, sketches, known)
+    roots = _roots(links)
+    # Then all others of a band, where groups still differ: links between the roots of groups.
+    more = _across(placed, roots.select(F.col("member").alias("node"), F.col("pivot").alias("component")), sketches, known)
+    sizes = members.groupBy("rep").agg(F.count("*").alias("n"))
+    named = sizes.join(roots.withColumnRenamed("member", "rep"), "rep", "left").select(
+        "rep", "n", F.coalesce("pivot", "rep").alias("component_id"))
     if not more.isEmpty():
-        links = links.unionAll(more)
-        components = connected_components(links.select(F.col("member").alias("a"), F.col("pivot").alias("b")))
+        up = roots.select(F.col("member").alias("node"), F.col("pivot").alias("root"))
+        ends = more.join(up.withColumnsRenamed({"node": "member", "root": "a"}), "member", "left").join(
+            up.withColumnsRenamed({"node": "pivot", "root": "b"}), "pivot", "left")
+        linked = connected_components(ends.select(
+            F.coalesce("a", "member").alias("a"), F.coalesce("b", "pivot").alias("b")).distinct())
+        named = named.join(linked.withColumnRenamed("node", "component_id"), "component_id", "left").select(
+            "rep", "n", F.coalesce("component", "component_id").alias("component_id"))
+    named = materialize(named, "named")
 
     # From classes to documents: classes of many copies are hot keys.
-    sizes = members.groupBy("rep").agg(F.count("*").alias("n"))
-    named = materialize(sizes.join(components.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", "n", F.coalesce("component", "rep").alias("component_id")), "named")
     found = attach(members, named, "rep", "n").select("doc_id", "n_shingles", "component_id")
     ids = known.select("doc_id").distinct().join(found, "doc_id", "left")
     return ids.select("doc_id", F.coalesce("n_shingles", F.lit(0)).cast("long").alias("n_shingles"),
@@ -234,6 +240,23 @@ def _grouped(docs: DataFrame, scope: Scratch) -> DataFrame:
         rows.filter("doc_id is null").mapInPandas(_lonely, "doc_id long, n_shingles long, component_id long, kept boolean"))
 
 
+def _roots(links: DataFrame) -> DataFrame:
+    """(member, pivot) with the root of each member's tree for its pivot; stored.
+
+    A member has one pivot, which has a smaller id, so links are trees; every round halves the ways.
+    A pivot of many members is a hot key.
+    """
+    with scratch(links.sparkSession) as scope:
+        state = links
+        while True:
+            higher = state.select(F.col("member").alias("pivot"), F.col("pivot").alias("above"))
+            lookup = materialize(state.groupBy("pivot").agg(F.count("*").alias("n")).join(higher, "pivot"), "above")
+            if lookup.isEmpty():
+                return scope.keep(state, "roots")
+            state = materialize(attach(state, lookup, "pivot", "n").select(
+                "member", F.coalesce("above", "pivot").alias("pivot")), "state")
+
+
 def _lonely(frames):
     for frame in frames:
         _, cut = distinct_sets(frame["text"].tolist())

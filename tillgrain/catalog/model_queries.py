@@ -70,6 +70,18 @@ def hybrid(spark, sf):
     return remembered(spark, sf, "hybrid", lambda: training.fit_forecaster(series_by_country(spark, sf), SMALL))
 
 
+def saved_trend(spark, sf):
+    """Days to come, and those where a stored and reread model says something else than a fresh fit."""
+    series = series_by_country(spark, sf)
+    path = scratch_path(spark, "trend")
+    store.write_parquet(fc.trend_models(series), path)
+    days = fc.future_days(series, 30)
+    fresh = fc.trend_season_forecast(series, days).withColumnsRenamed({"yhat": "a", "yhat_lower": "b"})
+    again = fc.trend_predict(spark.read.parquet(path), days)
+    return fresh.join(again, ["series", "ds"]).agg(F.count("*").alias("days"), F.count_if(
+        (F.abs(F.col("yhat") - F.col("a")) > 1e-6) | (F.abs(F.col("yhat_lower") - F.col("b")) > 1e-6)).alias("other"))
+
+
 def boosted_dates(spark, sf):
     """Answered days where one series is too short for any lag on its test days."""
     series = series_by_country(spark, sf)
@@ -397,6 +409,10 @@ RESULT
         WITH {COUNTRY_SQL}, {SPLIT_SQL}
 RESULT
         SELECT series, count(*) AS asked, count(*) AS answered, count(*) AS ordered FROM fsplit WHERE part = 'test' GROUP BY series"""),
+    "f04_saved_trend": Query("days:i, other:i", saved_trend, f"""
+        WITH {COUNTRY_SQL}
+RESULT
+        SELECT count(DISTINCT series) * 30 AS days, 0 AS other FROM fser"""),
     "f10_intervals": Query("series:s, asked:i, answered:i, ordered:i",
         lambda s, d: forecast_facts(s, d, fc.future_forecast(series_by_country(s, d)),
                                     fc.future_days(series_by_country(s, d), 30)), f"""

@@ -142,15 +142,19 @@ def flag_iqr_outliers(df: DataFrame, column: str, out: str = "is_outlier",
     return df.withColumn(out, F.coalesce(outside.cast("int"), F.lit(0)))
 
 
-def clean_transactions(raw: DataFrame, settings: Settings = DEFAULTS,
-                       caps: Caps | None = None) -> DataFrame:
-    """The whole cleaning chain; the caps are taken before deduplication.
+def typed_lines(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The contract columns with their types, stored, so that text is parsed once."""
+    return materialize(coerce_types(raw.select(*[F.col(f"`{c}`") for c in REQUIRED]), settings), "typed-lines")
 
-    The typed lines are stored once, so that text is parsed once and the passes for
-    modes and caps read only their columns.
-    """
-    raw = raw.select(*[F.col(f"`{c}`") for c in REQUIRED])
-    lines = materialize(drop_missing_critical(coerce_types(raw, settings)), "typed-lines")
+
+def clean_transactions(raw: DataFrame, settings: Settings = DEFAULTS, caps: Caps | None = None) -> DataFrame:
+    """The whole cleaning chain; the caps are taken before deduplication."""
+    return clean_typed(typed_lines(raw, settings), settings, caps)
+
+
+def clean_typed(typed: DataFrame, settings: Settings = DEFAULTS, caps: Caps | None = None) -> DataFrame:
+    """The cleaning of stored `typed_lines`; the passes for modes and caps read only their columns."""
+    lines = drop_missing_critical(typed)
     gaps = lines.agg(F.count_if(F.col("Description").isNull()).alias("text"),
                      F.count_if(F.col("Country").isNull()).alias("country")).first()
     if caps is None:

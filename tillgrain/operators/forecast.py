@@ -19,7 +19,7 @@ from ..session import materialize
 from .calendar import fill_calendar
 from .features import daily_sales, rolling_mean
 from .recurrent import RecurrentModel, fit_recurrent
-from .trend import fit_and_predict
+from .trend import fit_and_predict, fitted_row, predict_row
 
 LAGS = (1, 7, 14)
 LAG_FEATURES = ["lag_1", "lag_7", "lag_14", "rolling_7", "rolling_30", "day_of_week", "month"]
@@ -75,6 +75,21 @@ def trend_season_forecast(series: DataFrame, days: DataFrame) -> DataFrame:
         fit_and_predict, "series string, ds date, yhat double, yhat_lower double, yhat_upper double")
 
 
+TREND_ROW = "series string, start double, span double, size double, noise double, knots array<double>, beta array<double>"
+
+
+def trend_models(series: DataFrame) -> DataFrame:
+    """The fitted trend of each series as a row, to be stored."""
+    return series.select("series", "ds", F.col("y").cast("double").alias("y")).groupBy("series").applyInPandas(
+        fitted_row, TREND_ROW)
+
+
+def trend_predict(models: DataFrame, days: DataFrame) -> DataFrame:
+    """Forecast of (series, ds) by stored `trend_models`, equal to a fresh fit of the same series."""
+    return models.groupBy("series").cogroup(days.select("series", "ds").groupBy("series")).applyInPandas(
+        predict_row, "series string, ds date, yhat double, yhat_lower double, yhat_upper double")
+
+
 def future_days(series: DataFrame, horizon: int, origin: str = "last",
                 share: float = DEFAULTS.train_share) -> DataFrame:
     """`horizon` days after the last day of each series.

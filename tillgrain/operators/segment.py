@@ -23,15 +23,26 @@ SEGMENT_NAMES = {
 }
 
 
+def scales(df: DataFrame, columns: list[str] = RFM) -> DataFrame:
+    """(column, mean, deviation): a row per column; a constant column has deviation 1."""
+    facts = df.agg(*[F.struct(F.lit(c).alias("column"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(c)
+                     for c in columns])
+    return facts.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("s")).select(
+        "s.column", "s.mean", F.when(F.col("s.sd") > 0, F.col("s.sd")).otherwise(F.lit(1.0)).alias("deviation"))
+
+
+def scale_by(df: DataFrame, known: DataFrame, suffix: str = "_scaled") -> DataFrame:
+    """(value - mean) / deviation by stored `scales`."""
+    out = df
+    for r in known.collect():                           # a row per column
+        scaled = (F.col(r["column"]) - F.lit(r["mean"])) / F.lit(r["deviation"])
+        out = out.withColumn(f"{r['column']}{suffix}", F.round(scaled, SCALE_DIGITS))
+    return out
+
+
 def standard_scale(df: DataFrame, columns: list[str] = RFM, suffix: str = "_scaled") -> DataFrame:
     """(value - mean) / population deviation; a constant column becomes 0."""
-    facts = df.agg(*[F.avg(c).alias(f"{c}_mean") for c in columns],
-                   *[F.stddev_pop(c).alias(f"{c}_sd") for c in columns])
-    out = df.crossJoin(F.broadcast(facts))   # one row
-    for c in columns:
-        sd = F.when(F.col(f"{c}_sd") > 0, F.col(f"{c}_sd")).otherwise(F.lit(1.0))
-        out = out.withColumn(f"{c}{suffix}", F.round((F.col(c) - F.col(f"{c}_mean")) / sd, SCALE_DIGITS))
-    return out.drop(*[f"{c}_mean" for c in columns], *[f"{c}_sd" for c in columns])
+    return scale_by(df, scales(df, columns), suffix)
 
 
 def fit_kmeans(scaled: DataFrame, settings: Settings = DEFAULTS, starts: int | None = None,

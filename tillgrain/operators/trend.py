@@ -123,3 +123,29 @@ def fit_and_predict(pdf: pd.DataFrame) -> pd.DataFrame:
     model = Trend(days[known], pdf["y"].to_numpy(float)[known])
     low, high = model.interval(days[~known], zlib.crc32(str(pdf["series"].iloc[0]).encode()))
     return out.assign(yhat=model.predict(days[~known]), yhat_lower=low, yhat_upper=high)
+
+
+def fitted_row(pdf: pd.DataFrame) -> pd.DataFrame:
+    """What a fitted series needs to predict, as one row."""
+    pdf = pdf[pdf["y"].notna()].sort_values("ds")
+    names = ["series", "start", "span", "size", "noise", "knots", "beta"]
+    if not len(pdf):
+        return pd.DataFrame([], columns=names)
+    days = pd.to_datetime(pdf["ds"]).to_numpy().astype("datetime64[D]").astype(float)
+    m = Trend(days, pdf["y"].to_numpy(float))
+    return pd.DataFrame([(pdf["series"].iloc[0], m.start, m.span, m.size, m.noise, m.knots.tolist(), m.beta.tolist())],
+                        columns=names)
+
+
+def predict_row(model: pd.DataFrame, days: pd.DataFrame) -> pd.DataFrame:
+    """Predictions of the days of a series by its stored row; null without one."""
+    out = days[["series", "ds"]].sort_values("ds")
+    if not len(model) or not len(out):
+        return out.assign(yhat=np.nan, yhat_lower=np.nan, yhat_upper=np.nan)
+    row, known = model.iloc[0], Trend.__new__(Trend)
+    known.start, known.span, known.size, known.noise = (row[c] for c in ("start", "span", "size", "noise"))
+    known.knots, known.beta = np.array(row["knots"]), np.array(row["beta"])
+    known.changes = slice(2, 2 + len(known.knots))
+    at = pd.to_datetime(out["ds"]).to_numpy().astype("datetime64[D]").astype(float)
+    low, high = known.interval(at, zlib.crc32(str(row["series"]).encode()))
+    return out.assign(yhat=known.predict(at), yhat_lower=low, yhat_upper=high)

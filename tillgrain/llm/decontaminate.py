@@ -87,7 +87,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
         F.collect_set(F.struct("shift", "item_at", "mask")).alias("hits")).filter(
         F.size("hits") >= need).select(
         "row", "item", F.array_distinct(F.transform("hits", lambda x: x["shift"])).alias("shifts"),
-        _covered(masks).alias("covered")), "hits")
+        _covered(masks).alias("covered")).withColumn("most", _once(F.col("covered"))), "hits")
 
     # Only documents with hits are read again, and laid against the items.
     ids = met.select("row").distinct()
@@ -95,8 +95,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
         "row", "doc_id", word_hashes(F.col("text")).alias("h"))
     laid = hit_docs.join(met, "row").join(hinted(items, seed_count), "item")
     enough = F.greatest(F.least(F.lit(least_words), F.col("n")), F.ceil(least_share * F.col("n")))
-    ways = F.concat(F.transform("shifts", lambda s: _at_one(s, enough)),
-                    F.transform("shifts", lambda s: _within(s, reach, enough)))
+    # Words over several shifts are added up only where they can be enough, and more than at one shift.
+    within = F.transform("shifts", lambda s: _within(s, reach, enough))
+    ways = _let(F.transform("shifts", lambda s: _at_one(s, enough)), lambda ones: F.when(
+        (F.col("n") < LEAST_WORDS) | (F.col("most") < F.least(enough, F.lit(PASSAGE)))
+        | (F.col("most") <= F.coalesce(F.array_max(F.transform(F.filter(ones, lambda x: x["good"]),
+                                                               lambda x: x["matched"])), F.lit(0))),
+        ones).otherwise(F.concat(ones, within)))
     good = laid.select("doc_id", "item_id", "n", F.explode(F.filter(ways, lambda x: x["good"])).alias("way"))
     return good.groupBy("doc_id", "item_id").agg(
         F.max(F.struct("way.matched", "way.back", "n")).alias("best")).select(
@@ -127,12 +132,30 @@ def _at_one(shift: Column, enough: Column) -> Column:
 
 def _within(first: Column, reach: Column, enough: Column) -> Column:
     """The words of all hits at shifts from `first` on, up to the reach."""
-    some = F.filter("covered", lambda x: (_shift(x) >= first) & (_shift(x) <= first + reach))
-    passage = F.exists(some, lambda a: _once(F.filter(some, lambda b: (_place(b) >= _place(a)) & (
+    def judged(some, matched):
+        start = F.array_min(F.transform(some, lambda x: F.struct(_place(x), _shift(x).alias("shift"))))["shift"]
+        return _way(matched, start.cast("int"), (F.col("n") >= LEAST_WORDS) & (
+            (matched >= enough) | ((matched >= PASSAGE) & _dense(some) & _passage(some))))
+    return _let(F.filter("covered", lambda x: (_shift(x) >= first) & (_shift(x) <= first + reach)),
+                lambda some: _let(_once(some), lambda matched: judged(some, matched)))
+
+
+def _dense(some: Column) -> Column:
+    """Whether so many different places of a passage lie within its span at all."""
+    return _let(F.array_sort(F.array_distinct(F.transform(some, _place))), lambda places: F.exists(
+        F.zip_with(places, F.slice(places, PASSAGE, F.greatest(F.size(places), F.lit(1))),
+                   lambda a, b: b - a), lambda wide: F.coalesce(wide < SPAN, F.lit(False))))
+
+
+def _passage(some: Column) -> Column:
+    """Whether enough words lie within the span, each of the item and of the document once."""
+    return F.exists(some, lambda a: _once(F.filter(some, lambda b: (_place(b) >= _place(a)) & (
         _place(b) < _place(a) + SPAN))) >= PASSAGE)
-    start = F.array_min(F.transform(some, lambda x: F.struct(_place(x), _shift(x).alias("shift"))))["shift"]
-    return _way(_once(some), start.cast("int"), (F.col("n") >= LEAST_WORDS) & (
-        (_once(some) >= enough) | ((_once(some) >= PASSAGE) & passage)))
+
+
+def _let(value: Column, use) -> Column:
+    """`use` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _place(code: Column) -> Column:

@@ -86,3 +86,15 @@ def test_null_and_repeated_ids(spark):
     rest = " ".join(f"w{j}" for j in range(12, 19))
     found = _overlaps(spark, [(None, item), (None, "nothing"), (2, half), (2, rest), (3, "no"), (3, item)], [(7, item)])
     assert {k: r["matched"] for k, r in found.items()} == {(None, 7): 20, (3, 7): 20}
+
+
+def test_repetitive_text_takes_seconds(spark):
+    """Every word of the item stands everywhere in the document."""
+    import time
+    for count, held in ((400, 400), (400, 300), (60, 2000)):
+        docs = spark.createDataFrame([(1, " ".join(["0"] * held))], "doc_id long, text string")
+        items = spark.createDataFrame([(1, " ".join(["0"] * count))], "item_id long, text string")
+        begun = time.time()
+        found = decontaminate.overlaps(docs, items).collect()
+        assert [(r["matched"], r["item_words"]) for r in found] == [(min(count, held), count)]
+        assert time.time() - begun < 60

@@ -112,3 +112,17 @@ def test_days_of_1e15_do_not_overflow(spark):
     assert last["Rolling7DaySales"] == 1e15 + 5
     lines = spark.sql("select cast(id % 2 as int) + 1 InvoiceMonth, 9e11 TotalAmount from range(4000)")
     assert {r["SeasonalIndex"] for r in seasonal_index(lines).collect()} == {1.0}
+
+
+def test_reports_of_periods_copy_no_rows(spark):
+    import datetime
+    from tillgrain.operators import reports as rp
+    rows = [(datetime.datetime(2024, m, d, 9), f"i{i}", c, 2.0, 1.0)
+            for m, d, i, c in [(1, 1, 1, "a"), (1, 1, 1, "a"), (1, 1, 2, "b"), (1, 2, 2, "b"), (1, 2, 3, None), (2, 1, 3, "a")]]
+    lines = spark.createDataFrame(rows, "InvoiceDate timestamp, Invoice string, `Customer ID` string, TotalAmount double, Quantity double")
+    daily = rp.daily_report(lines)
+    assert "Expand" not in daily._jdf.queryExecution().executedPlan().toString()
+    assert {(str(r["SalesDate"]), r["TotalSales"], r["Orders"], r["Customers"], r["AOV"]) for r in daily.collect()} == {
+        ("2024-01-01", 6.0, 2, 2, 3.0), ("2024-01-02", 4.0, 2, 1, 2.0), ("2024-02-01", 2.0, 1, 1, 2.0)}
+    months = {(r["SalesMonth"], r["Orders"], r["Customers"]) for r in rp.monthly_report(rp.visits(lines)).collect()}
+    assert months == {("2024-01", 3, 2), ("2024-02", 1, 1)}

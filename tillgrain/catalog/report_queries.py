@@ -152,6 +152,12 @@ QUERIES = {
           SELECT sales_date AS "SalesDate", {money('"TotalAmount"')} AS "TotalSales",
             {money('"Quantity"')} AS "TotalQuantity", count(DISTINCT "Invoice") AS "Orders",
             count(DISTINCT "Customer ID") AS "Customers" FROM features GROUP BY sales_date)"""),
+    "e04_monthly_report": Query("SalesMonth:s, TotalSales:2, TotalQuantity:4, Orders:i, Customers:i, AOV:4",
+        lambda s, d: rp.monthly_report(stored(s, d, "visits", lambda: rp.visits(features(s, d)))), f"""
+        SELECT *, "TotalSales" / greatest("Orders", 1) AS "AOV" FROM (
+          SELECT strftime(sales_date, '%Y-%m') AS "SalesMonth", {money('"TotalAmount"')} AS "TotalSales",
+            {money('"Quantity"')} AS "TotalQuantity", count(DISTINCT "Invoice") AS "Orders",
+            count(DISTINCT "Customer ID") AS "Customers" FROM features GROUP BY ALL)"""),
     "e06_sku_demand": Query("StockCode:s, avg_daily_demand:6, demand_std:6, current_velocity:4, risk_score:7, category:s",
         lambda s, d: inventory.sku_demand(features(s, d)), SKU_DEMAND),
     "e07_summary_kpis": Query("n_rows:i, n_customers:i, n_products:i, n_countries:i, first_date:t, last_date:t, "

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import available, exact_avg, exact_sum
+from ..functions.scalars import MONEY, available, exact_avg, exact_sum
 from ..schema import CORRELATION_FEATURES
+from ..session import materialize
 from .features import first_per_key, first_values
 from .ranking import exact_quantiles
 
@@ -77,13 +78,41 @@ def sales_by(features: DataFrame, column: str) -> DataFrame:
     return features.groupBy(F.col(f"`{column}`")).agg(exact_sum("TotalAmount").alias("TotalAmount"))
 
 
+def visits(features: DataFrame) -> DataFrame:
+    """Sales and units per day, invoice and customer: what exact counts of longer periods add up from.
+
+    Lines are added up where they are before anything is shuffled, so the table has a row per
+    invoice, not per line.
+    """
+    return features.groupBy(F.to_date("InvoiceDate").alias("SalesDate"), "Invoice", "Customer ID").agg(
+        F.sum(F.col("TotalAmount").cast(MONEY)).alias("amount"), F.sum(F.col("Quantity").cast(MONEY)).alias("units"))
+
+
+def period_report(known: DataFrame, period: Column, name: str) -> DataFrame:
+    """Sales, units, orders, customers and order value per period, from stored `visits`.
+
+    Orders and customers are counted on their own, each from its distinct pairs: a row is
+    never copied for every count.
+    """
+    rows = known.withColumn(name, period)
+    totals = rows.groupBy(name).agg(F.sum("amount").cast("double").alias("TotalSales"),
+                                    F.sum("units").cast("double").alias("TotalQuantity"))
+    for column, count in (("Invoice", "Orders"), ("Customer ID", "Customers")):
+        # One row per period on either side; null periods and null keys as in a plain count.
+        found = rows.select(F.col(name).alias("_period"), F.col(f"`{column}`").alias("_key")).distinct().groupBy(
+            "_period").agg(F.count("_key").alias(count))
+        totals = totals.join(found, F.col(name).eqNullSafe(F.col("_period"))).drop("_period")
+    return totals.withColumn("AOV", F.col("TotalSales") / F.greatest("Orders", F.lit(1)))
+
+
 def daily_report(features: DataFrame) -> DataFrame:
     """Sales, units, orders, customers and order value per day."""
-    daily = features.groupBy(F.to_date("InvoiceDate").alias("SalesDate")).agg(
-        exact_sum("TotalAmount").alias("TotalSales"), exact_sum("Quantity").alias("TotalQuantity"),
-        F.countDistinct("Invoice").alias("Orders"),
-        F.countDistinct("Customer ID").alias("Customers"))
-    return daily.withColumn("AOV", F.col("TotalSales") / F.greatest("Orders", F.lit(1)))
+    return period_report(materialize(visits(features), "visits"), F.col("SalesDate"), "SalesDate")
+
+
+def monthly_report(known: DataFrame) -> DataFrame:
+    """The same per month, from the stored `visits` of its days."""
+    return period_report(known, F.date_format("SalesDate", "yyyy-MM"), "SalesMonth")
 
 
 def country_report(features: DataFrame) -> DataFrame:

@@ -174,3 +174,35 @@ def test_the_whole_pipeline(spark):
     kept = collections.Counter(r["doc_id"] for r in docs.select("doc_id").collect())
     ends = made.filter(F.col("start") + F.col("length") == F.col("doc_tokens"))
     assert collections.Counter(r["doc_id"] for r in ends.collect()) == kept and 100 < len(kept) < 200
+
+
+def test_no_near_copy_is_missed(spark):
+    """Components over all documents of the small table against all pairs that share a shingle."""
+    import itertools
+    import re
+    prepare(spark)
+    sets, holders = {}, collections.defaultdict(list)
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect():
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", low)
+        made = {tuple(words[k:k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
+        sets[r["doc_id"]] = made
+        for s in made:
+            holders[s].append(r["doc_id"])
+    shared = collections.Counter(p for ids in holders.values() if len(ids) > 1 for p in itertools.combinations(sorted(ids), 2))
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    links = 0
+    for (a, b), n in shared.items():
+        if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n):
+            links += 1
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in catalog.op9_near_duplicates(
+        spark, "/root/testdata/sf0.01").collect()}
+    assert links > 50
+    assert found == {i: (len(s), find(i), find(i) == i) for i, s in sets.items()}

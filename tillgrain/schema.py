@@ -86,7 +86,7 @@ class Settings:
     boost_rate: float = 0.05
     sequence_length: int = 14
     sequence_hidden: int = 16
-    sequence_epochs: int = 40
+    sequence_epochs: int = 25
     sequence_rate: float = 0.05
     safety_z: float = 1.65
     lead_time_days: int = 7

@@ -16,6 +16,7 @@ import numpy as np
 from .arrays import U, groups, joined, seeded, span_hash
 
 CACHE = 3_000_000     # pieces a worker keeps; then it starts anew
+FILL = 500_000        # characters that are cut into pieces at once, some 50 bytes of arrays each
 _encoders: dict[str, "Encoder"] = {}
 
 _space = np.zeros(256, bool)
@@ -67,7 +68,7 @@ class Encoder:
         for k in plain:
             some.append(k)
             size += len(texts[k])
-            if size > 2_000_000:
+            if size > FILL:
                 self._fill(out, texts, some)
                 some, size = [], 0
         self._fill(out, texts, some)

@@ -93,7 +93,6 @@ _person = regex.compile(
     titles=TITLES + [t.upper() for t in TITLES], offices=OFFICES + [o.upper() for o in OFFICES],
     known=[n for names in GIVEN.values() for name in names for n in (name, name.upper())])
 _capital = re.compile(r"(?<![^\W\d_])([^\W\d_a-z][^\W\d_]+)\.?[ \u00a0]+(?=[^\W\d_])")
-_phrase = re.compile("|".join(map(re.escape, PHRASES)), re.I)
 _leads = {n for names in (TITLES, *GIVEN.values()) for name in names for n in (name, name.upper())}
 _words = ("akia", "asia", "ghp_", "sk_live_", "sk-", "passw", "pwd", "secret", "token", "api")
 
@@ -107,7 +106,8 @@ def _may_hold(line: str) -> bool:
 
 
 def _may_name(text: str) -> bool:
-    return any(m[1] in _leads for m in _capital.finditer(text)) or bool(_phrase.search(text))
+    low = text.lower()
+    return any(p in low for p in PHRASES) or any(m[1] in _leads for m in _capital.finditer(text))
 
 
 def _draw(key: str, *parts) -> int:

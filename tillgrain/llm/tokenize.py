@@ -9,14 +9,15 @@ which may hold an added token of the file, is encoded by the library as a whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
 from .arrays import U, groups, joined, seeded, span_hash
 
-CACHE = 3_000_000     # pieces a worker keeps; then it starts anew
-FILL = 500_000        # characters that are cut into pieces at once, some 50 bytes of arrays each
+CACHE = 400_000       # pieces a worker keeps; then it starts anew
+FILL = 200_000        # characters that are cut into pieces at once, some 50 bytes of arrays each
 _encoders: dict[str, "Encoder"] = {}
 
 _space = np.zeros(256, bool)
@@ -38,6 +39,8 @@ def encoder(path: str) -> "Encoder":
 
 class Encoder:
     def __init__(self, path: str):
+        # A task has one core; threads of the library would each hold memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)

@@ -7,7 +7,8 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import clip, exact_avg, exact_sum, half_even, stock_status
-from ..schema import DEFAULTS, ROW_ORDER, Settings
+from ..schema import DEFAULTS, Settings
+from .features import first_per_key
 
 ORDER_COST = 50.0
 HOLDING_SHARE = 0.2
@@ -19,14 +20,15 @@ def sku_demand(features: DataFrame) -> DataFrame:
     `avg_daily_demand` is the mean number of units per line; the name is kept.
     A product with a single line takes 30 % of its mean as spread.
     """
-    position = F.struct(*[F.col(f"`{c}`") for c in ROW_ORDER])
-    demand = features.groupBy("StockCode").agg(
+    demand = features.groupBy(F.col("StockCode").alias("_sku")).agg(
         exact_avg("Quantity").alias("avg_daily_demand"),
         F.stddev_samp("Quantity").alias("demand_std"),
         exact_sum("Quantity").alias("current_velocity"),
-        F.avg("InventoryRiskScore").alias("risk_score"),
-        F.min_by("ProductCategory", F.when(F.col("ProductCategory").isNotNull(), position))
-        .alias("category"))
+        F.avg("InventoryRiskScore").alias("risk_score"))
+    # Apart from the first category, whose order would have every line sorted.
+    first = first_per_key(features, "StockCode", ["ProductCategory"]).withColumnRenamed("ProductCategory", "category")
+    demand = first.join(demand, F.col("StockCode").eqNullSafe(F.col("_sku"))).select(
+        "StockCode", "avg_daily_demand", "demand_std", "current_velocity", "risk_score", "category")
     return demand.withColumn("demand_std", F.coalesce("demand_std", F.col("avg_daily_demand") * 0.3))
 
 

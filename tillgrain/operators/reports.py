@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalars import MONEY, available, exact_avg, exact_sum
 from ..schema import CORRELATION_FEATURES
 from ..session import materialize
-from .features import first_per_key, first_values
+from .features import first_per_key
 from .ranking import exact_quantiles
 
 
@@ -131,11 +131,12 @@ def customer_report(features: DataFrame) -> DataFrame:
     """One row per customer with its first feature values, totals and snapshot date."""
     first = ["CustomerLifetimeValue", "AvgOrderValue", "PurchaseFrequency",
              "DaysSinceLastPurchase", "Country", "CustomerSegment", "ChurnFlag"]
-    return features.groupBy("Customer ID").agg(
-        *first_values("Customer ID", first),
+    totals = features.groupBy(F.col("Customer ID").alias("_customer")).agg(
         F.countDistinct("Invoice").alias("Orders"), exact_sum("Quantity").alias("Quantity"),
-        exact_sum("TotalAmount").alias("Revenue"), F.max("InvoiceDate").alias("LastPurchase"),
-    ).withColumn("SnapshotDate", features.agg(F.max("InvoiceDate")).scalar())
+        exact_sum("TotalAmount").alias("Revenue"), F.max("InvoiceDate").alias("LastPurchase"))
+    # Apart from the first values, whose order would have every line sorted.
+    return first_per_key(features, "Customer ID", first).join(
+        totals, F.col("Customer ID").eqNullSafe(F.col("_customer"))).drop("_customer").withColumn("SnapshotDate", features.agg(F.max("InvoiceDate")).scalar())
 
 
 def customers_per_segment(features: DataFrame) -> DataFrame:

@@ -27,11 +27,14 @@ SIMULATIONS, SHARE = 500, 0.8
 
 
 def design(days: np.ndarray, start: float, span: float, knots: np.ndarray) -> np.ndarray:
-    """Columns: level, slope, a hinge per candidate, seasonal waves."""
+    """Columns: level, slope, a hinge per candidate, seasonal waves.
+
+    Days that cover less than a period cannot tell its waves from the trend, so there are none.
+    """
     t = (days - start) / span
     columns = [np.ones_like(t), t, *(np.maximum(t - k, 0.0) for k in knots)]
     for period, order in PERIODS:
-        for i in range(1, order + 1):
+        for i in range(1, order + 1 if span >= period else 1):
             columns += [np.sin(2 * np.pi * i * days / period), np.cos(2 * np.pi * i * days / period)]
     return np.column_stack(columns)
 

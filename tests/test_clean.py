@@ -32,6 +32,16 @@ def test_description_mode_tie_and_unknown(spark):
     assert cl.fill_descriptions(rows).count() == 4
 
 
+def test_texts_are_counted_for_products_with_gaps_alone(spark, monkeypatch):
+    rows = frame(spark, [line(text="a"), line(text=None), *[line(stock=f"B{i}") for i in range(20)]])
+    counted, modes = [], cl.description_modes
+    monkeypatch.setattr(cl, "description_modes", lambda df: counted.append(df.count()) or modes(df))
+    few = sorted(map(tuple, cl.fill_descriptions(rows).collect()))
+    monkeypatch.setattr(cl, "broadcast_rows", lambda lookup: 0)
+    assert few == sorted(map(tuple, cl.fill_descriptions(rows).collect())) and len(few) == 22
+    assert counted == [2, 22]
+
+
 def test_country_mode(spark):
     rows = frame(spark, [line(country="UK"), line(country="DE"), line(country="DE"), line(country=None)])
     assert sorted(r["Country"] for r in cl.fill_countries(rows).collect()) == ["DE", "DE", "DE", "UK"]

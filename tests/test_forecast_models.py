@@ -149,3 +149,21 @@ def test_fewer_points_than_centres(spark):
     assert model.cost == 0 and {r["cluster"] for r in model.assign(df).collect()} == {0}
     with pytest.raises(ValueError, match="no points"):
         kmeans.fit_starts(df.limit(0), ["x", "y"], 3, 2, 1, "id")
+
+
+def test_a_kmeans_step_adds_up_every_start(spark):
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(500, 3))
+    active = {s: draw.normal(size=(4, 3)) for s in (0, 2, 7)}
+    active[7][3] = 50.0                                               # far from all points: has none
+    df = spark.createDataFrame(x.tolist(), "x double, y double, z double").repartition(3)
+    got = {(r.start, r.cluster): [int(v) for v in r[3:]]
+           for r in kmeans._step(df, ["x", "y", "z"], active).itertuples()}
+    want = {}
+    for s, centres in active.items():
+        best, away = kmeans._nearest(x, centres)
+        for c in np.unique(best):
+            mine = best == c
+            want[s, int(c)] = [int(mine.sum()), int(np.rint(away[mine] / kmeans.UNIT).sum()),
+                               *np.rint(x[mine] / kmeans.UNIT).astype(np.int64).sum(0).tolist()]
+    assert got == want and (7, 3) not in got

@@ -81,20 +81,29 @@ def _spread(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
 
 def _step(points: DataFrame, columns: list[str], active: dict[int, np.ndarray]) -> pd.DataFrame:
     """(start, cluster, n, cost, sums): one row per start and cluster that has points."""
+    starts, k = list(active), len(next(iter(active.values())))
+    centres, first = np.concatenate([active[i] for i in starts]), np.arange(len(starts)) * k
+
     def run(batches):
-        held: dict[tuple[int, int], np.ndarray] = {}
+        held = np.zeros((2 + len(columns), len(centres)), np.int64)
         for batch in batches:
             x = batch[columns].to_numpy(float)
-            whole = np.rint(x / UNIT).astype(np.int64)
-            for start, centres in active.items():
-                best, away = _nearest(x, centres)
-                cost = np.rint(away / UNIT).astype(np.int64)
-                for c in np.unique(best):
-                    mine = best == c
-                    held[start, int(c)] = held.get((start, int(c)), 0) + np.concatenate(
-                        [[mine.sum(), cost[mine].sum()], whole[mine].sum(0)])
-        if held:
-            yield pd.DataFrame([(*key, v.tolist()) for key, v in held.items()], columns=["start", "cluster", "sums"])
+            away = np.zeros((len(x), len(centres)))
+            for j in range(len(columns)):
+                gap = x[:, j, None] - centres[None, :, j]
+                away += gap * gap
+            away = away.reshape(len(x), len(starts), k)
+            best = away.argmin(2)
+            cost = np.rint(np.take_along_axis(away, best[:, :, None], 2) / UNIT).astype(np.int64)
+            at = (best + first).ravel()
+            held[0] += np.bincount(at, minlength=len(centres))
+            np.add.at(held[1], at, cost.ravel())
+            for j, whole in enumerate(np.rint(x / UNIT).astype(np.int64).T):
+                np.add.at(held[2 + j], at, np.repeat(whole, len(starts)))
+        found = np.flatnonzero(held[0])
+        if len(found):
+            yield pd.DataFrame([(starts[c // k], int(c % k), held[:, c].tolist()) for c in found],
+                               columns=["start", "cluster", "sums"])
 
     partial = points.mapInPandas(run, "start int, cluster int, sums array<long>")
     width = 2 + len(columns)

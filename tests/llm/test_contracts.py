@@ -29,6 +29,22 @@ def test_ids_around_added_tokens(name):
         assert ids.tolist() == made.library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_pieces_met_again_stay_when_the_cache_is_full(name, monkeypatch):
+    from tillgrain.llm import tokenize
+    made, learned = tokenize.Encoder(public_tokenizers.path(name)), []
+    learn = made._learn
+    monkeypatch.setattr(made, "_learn", lambda pieces, led: learned.extend(pieces) or learn(pieces, led))
+    monkeypatch.setattr(tokenize, "CACHE", 60)
+    monkeypatch.setattr(tokenize, "FILL", 100)
+    letters = "abcdefghijklmnopqrst"
+    texts = [f"common, words stay.\nrare{a}{b} once{b}{a}q été{a}{b} {k}x{b}" for k, a in enumerate(letters) for b in letters]
+    for text, ids in zip(texts, made.encode(texts)):
+        assert ids.tolist() == made.library.encode(text, add_special_tokens=False).ids, text
+    assert learned.count("common") == learned.count("words") == learned.count("stay") == 1
+    assert len(made.keys[0]) + len(made.keys[1]) < 120
+
+
 def test_packing_holds_every_id_once(spark, docs):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")

@@ -57,7 +57,11 @@ def down_power(at: np.ndarray) -> np.ndarray:
 def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of data[start:end] for each pair; starts ascend, and so do ends."""
     with np.errstate(over="ignore"):
-        raw = (prefix_at(data, end) - prefix_at(data, start)) * down_power(start)
+        if (start[1:] >= end[:-1]).all():       # spans one after the other: all places in one pass
+            both = prefix_at(data, np.column_stack([start, end]).ravel())
+            raw = (both[1::2] - both[::2]) * down_power(start)
+        else:
+            raw = (prefix_at(data, end) - prefix_at(data, start)) * down_power(start)
         return mix(raw + mix((end - start).astype(U)))
 
 

@@ -16,7 +16,7 @@ import numpy as np
 
 from .arrays import U, groups, joined, seeded, span_hash
 
-CACHE = 400_000       # pieces a worker keeps; then it starts anew
+CACHE = 400_000       # pieces a worker keeps; then those stay that were met again, half of this at most
 FILL = 200_000        # characters that are cut into pieces at once, some 50 bytes of arrays each
 _encoders: dict[str, "Encoder"] = {}
 
@@ -58,8 +58,23 @@ class Encoder:
     def _reset(self) -> None:
         self.keys = [np.empty(0, U), np.empty(0, U)]        # sorted: many old, some new
         self.at = [np.empty((2, 0), np.int64), np.empty((2, 0), np.int64)]
+        self.met = [np.empty(0, np.int32), np.empty(0, np.int32)]   # fills that met a piece again
         self.ids = np.empty(0, np.uint32)
 
+    def _renew(self) -> None:
+        """Forgets the pieces that were met again least, and half of what is counted of the others."""
+        keys, at, met = np.concatenate(self.keys), np.concatenate(self.at, axis=1), np.concatenate(self.met)
+        floor = 0
+        while (met > floor).sum() > CACHE // 2:
+            floor = 2 * floor + 1
+        kept = np.flatnonzero(met > floor)
+        kept = kept[np.argsort(keys[kept], kind="stable")]
+        count = at[1, kept]
+        begin = np.cumsum(count) - count
+        ids = self.ids[np.repeat(at[0, kept] - begin, count) + np.arange(count.sum())]
+        self._reset()
+        self.keys[0], self.at[0], self.met[0], self.ids = keys[kept], np.stack([begin, count]), met[kept] // 2, ids
+
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -120,7 +135,7 @@ class Encoder:
             edge = np.concatenate([[0], edge])
         word, stop = edge[0::2], edge[1::2]
         # The end of a word's core: after its last byte that is no closing punctuation.
-        place = np.where(_tail[data], -1, np.arange(len(data)))
+        place = np.where(_tail[data], np.int32(-1), np.arange(len(data), dtype=np.int32))
         core = np.maximum.accumulate(place)[stop - 1] + 1
         whole = (core <= word) | ~_letter[data[np.maximum(core - 1, 0)]]
         core = np.where(whole, stop, core)
@@ -145,56 +160,58 @@ class Encoder:
     def _find(self, keys, data, begin, end, led):
         """Where the ids of each distinct piece are: (offset, count)."""
         if len(self.keys[0]) + len(self.keys[1]) > CACHE:
-            self._reset()
+            self._renew()
         found = np.full((2, len(keys)), -1, np.int64)
-        for known, at in zip(self.keys, self.at):
+        for known, at, met in zip(self.keys, self.at, self.met):
             k = np.searchsorted(known, keys)
             hit = k < len(known)
             hit[hit] = known[k[hit]] == keys[hit]
             found[:, hit] = at[:, k[hit]]
+            met[k[hit]] += 1
         new = np.flatnonzero(found[0] < 0)
         if len(new):
             raw = data.tobytes()
-            pieces = [raw[a:b].decode() for a, b in zip(begin[new], end[new])]
-            ids, count = self._learn(pieces, led[new])
-            offset = len(self.ids) + np.concatenate([[0], np.cumsum(count)[:-1]])
+            pieces = [raw[a:b].decode() for a, b in zip(begin[new].tolist(), end[new].tolist())]
+            ids, at, count = self._learn(pieces, led[new])
+            found[0, new], found[1, new] = len(self.ids) + at, count
             self.ids = np.concatenate([self.ids, ids])
-            found[0, new], found[1, new] = offset, count
             self._keep(keys[new], found[:, new])
         return found
 
     def _keep(self, keys, at):
         small = 0 if 4 * len(self.keys[1]) > len(self.keys[0]) else 1
-        if small == 0:
-            keys = np.concatenate([self.keys[0], self.keys[1], keys])
-            at = np.concatenate([self.at[0], self.at[1], at], axis=1)
-            self.keys[1], self.at[1] = np.empty(0, U), np.empty((2, 0), np.int64)
-        else:
-            keys = np.concatenate([self.keys[1], keys])
-            at = np.concatenate([self.at[1], at], axis=1)
+        met = np.zeros(len(keys), np.int32)
+        for k in range(1, small - 1, -1):
+            keys, at = np.concatenate([self.keys[k], keys]), np.concatenate([self.at[k], at], axis=1)
+            met = np.concatenate([self.met[k], met])
+            self.keys[k], self.at[k], self.met[k] = np.empty(0, U), np.empty((2, 0), np.int64), np.empty(0, np.int32)
         order = np.argsort(keys, kind="stable")
-        self.keys[small], self.at[small] = keys[order], at[:, order]
+        self.keys[small], self.at[small], self.met[small] = keys[order], at[:, order], met[order]
 
-    def _learn(self, pieces: list[str], led: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of new pieces: letters only many in one call, all others one by one."""
-        ids: list = [None] * len(pieces)
+    def _learn(self, pieces: list[str], led: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of new pieces, where those of each begin and how many: letters only many in one call, all others one by one."""
+        at, count = np.full(len(pieces), -1, np.int64), np.zeros(len(pieces), np.int64)
+        parts, size = [], 0
         easy = [k for k, (p, s) in enumerate(zip(pieces, led.tolist()))
-                if (s or not self.spaced) and p.isalpha() and p.lower().isalpha()]
+                if (s or not self.spaced) and p.isalpha() and (p.isascii() or p.lower().isalpha())]
         for k in range(0, len(easy), 500):
             some = easy[k:k + 500]
-            line = (" " if self.spaced else "") + " ".join(pieces[j] for j in some)
+            line = (" " if self.spaced else "") + " ".join([pieces[j] for j in some])
             got = np.array(self.library.encode_batch_fast([line], add_special_tokens=False)[0].ids,
                            np.uint32)
             cut = np.flatnonzero(self.begins[got])[1:] if self.spaced else \
                 np.flatnonzero(self.ends[got])[:-1] + 1
-            bounds = [0, *cut.tolist(), len(got)]
-            if len(bounds) - 1 == len(some):
-                for j, a, b in zip(some, bounds[:-1], bounds[1:]):
-                    ids[j] = got[a:b]
-        rest = [k for k, x in enumerate(ids) if x is None]
+            if len(cut) + 1 == len(some):
+                bounds = np.concatenate([[0], cut, [len(got)]])
+                at[some], count[some] = size + bounds[:-1], np.diff(bounds)
+                parts.append(got)
+                size += len(got)
+        rest = np.flatnonzero(at < 0).tolist()
         for k in range(0, len(rest), 500):
             some = rest[k:k + 500]
             lines = [" " + pieces[j] if led[j] else pieces[j] for j in some]
             for j, e in zip(some, self.library.encode_batch_fast(lines, add_special_tokens=False)):
-                ids[j] = np.array(e.ids, np.uint32)
-        return np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids))
+                parts.append(np.array(e.ids, np.uint32))
+                at[j], count[j] = size, len(parts[-1])
+                size += len(parts[-1])
+        return np.concatenate(parts), at, count

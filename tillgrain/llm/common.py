@@ -6,6 +6,7 @@ import math
 import os
 import pathlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -14,21 +15,30 @@ BROADCAST_ROWS = 500_000     # narrow rows (ids) that are broadcast at most, cou
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches, as rows hold whole texts; Python workers look for this package
-    where the driver has it (beyond what they have installed or were sent)."""
+    """Small batches of Arrow and of Parquet's reader, as rows hold whole texts; Python workers look for this
+    package where the driver has it (beyond what they have installed or were sent)."""
     root = str(pathlib.Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+    for key in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"):
+        if int(spark.conf.get(key)) > BATCH_ROWS:
+            spark.conf.set(key, BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A few rows of whole numbers as a table.
+
+    Lists would pass through plain Python workers, which stay beside those of the Arrow functions, with a daemon of their own.
+    """
+    columns = zip(*rows) if rows else [[] for _ in names]
+    return spark.createDataFrame(pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)}))
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with null texts as empty ones, whatever else the table has."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

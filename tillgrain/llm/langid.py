@@ -27,12 +27,25 @@ FIT_CHARS = 2_000_000
 CHECK_DOCS = 400
 SHARES = 1_000_003
 REJECT = 12.0            # standard deviations
+CHARS = 200_000          # characters counted or scored at once, some 100 bytes of arrays each
 UNKNOWN = "und"
 
 _fold = np.arange(1 << 16, dtype=np.uint16)
 _is_letter = np.array([chr(i).isalpha() for i in range(1 << 16)])
 
 
+def runs(texts: list[str]):
+    """(begin, end) of runs of whole texts with at most CHARS characters; a longer text is a run of its own."""
+    begin = chars = 0
+    for k, text in enumerate(texts):
+        if k > begin and chars + len(text) > CHARS:
+            yield begin, k
+            begin, chars = k, 0
+        chars += len(text)
+    if texts:
+        yield begin, len(texts)
+
+
 def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(16-bit symbols, where each text begins, and the end): three gaps, then words and gaps."""
     parts, sizes = [], []
@@ -74,8 +87,10 @@ def _count(frames):
     held: dict[str, list] = {}
     for frame in frames:
         for lang, some in frame.groupby("lang"):
-            key, _ = grams(*symbols(some["text"].tolist()))
-            held.setdefault(lang, []).append(np.unique(key, return_counts=True))
+            texts = some["text"].tolist()
+            for a, b in runs(texts):
+                key, _ = grams(*symbols(texts[a:b]))
+                held.setdefault(lang, []).append(np.unique(key, return_counts=True))
     for lang, pairs in held.items():
         key, of = np.unique(np.concatenate([k for k, _ in pairs]), return_inverse=True)
         count = np.bincount(of, np.concatenate([c for _, c in pairs])).astype(np.int64)
@@ -161,19 +176,13 @@ class Models:
         """(cross-entropy per character of each text and language, scored characters)."""
         out = np.zeros((len(texts), len(self.langs)))
         size = np.zeros(len(texts), np.int64)
-        k = 0
-        while k < len(texts):
-            stop, chars = k, 0
-            while stop < len(texts) and (stop == k or chars + len(texts[stop]) < 1_000_000):
-                chars += len(texts[stop])
-                stop += 1
+        for k, stop in runs(texts):
             key, of = grams(*symbols(texts[k:stop]))
             kinds, at = np.unique(key, return_inverse=True)
             logp = self._score(ORDER - 1, kinds)
             for c in range(len(self.langs)):
                 out[k:stop, c] = -np.bincount(of, logp[at, c], stop - k)
             size[k:stop] = np.bincount(of, minlength=stop - k)
-            k = stop
         return out / np.maximum(size, 1)[:, None], size
 
 

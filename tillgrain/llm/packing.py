@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import running_start, texts
+from .common import running_start, small_table, texts
 from .tokenize import encoder
 
 LENGTH = 2048
@@ -164,8 +164,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = EN
             deals.append((c + 1, taken, taken + use * each, each, sequence))
             left[c] -= use * each
         sequence += use
-    deals = spark.createDataFrame(
-        deals, "d_kind int, low long, high long, each long, base long")      # patterns x classes
+    deals = small_table(spark, deals, ["d_kind", "low", "high", "each", "base"])      # patterns x classes
 
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(
         Window.partitionBy("kind").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)),
@@ -211,8 +210,9 @@ def _cut_freely(spare: DataFrame, rows: DataFrame, base: int, tokenizer: str, le
             cuts.append((p["row"], p["doc_id"], p["start"] + at - begin, end - at, p["doc_tokens"],
                          p["key"], base + sequence, at - bounds[sequence]))
             at = end
-    fields = "doc_id long, start long, length long, doc_tokens long, key long, sequence_id long, offset long"
-    cuts = spark.createDataFrame(cuts, f"c_row long, {fields}")
+    names = ["doc_id", "start", "length", "doc_tokens", "key", "sequence_id", "offset"]
+    fields = ", ".join(f"{n} long" for n in names)
+    cuts = small_table(spark, cuts, ["c_row", *names])
     # One text per row hash: rows that repeat a document repeat its text.
     text = rows.join(F.broadcast(cuts.select(F.col("c_row").alias("row")).distinct()), "row",
                      "left_semi").select("row", "text").groupBy("row").agg(F.first("text").alias("text"))

@@ -200,3 +200,14 @@ def test_box_of_a_column_without_values(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None)], "a double, b double")
     found = {r["column"]: r for r in box_summary(df, ["a", "b"]).collect()}
     assert found["a"]["median"] == 2.0 and found["b"]["median"] is None and found["b"]["outliers"] == 0
+
+
+def test_the_registered_churn_models_are_fitted_with_all_trees(spark, monkeypatch):
+    from tillgrain.catalog import model_queries as queries
+    rows, fitted = churn_frame(spark, 40).withColumn("part", F.lit("train")), []
+    monkeypatch.setattr(queries, "churn_rows", lambda s, d: rows)
+    monkeypatch.setattr(churn, "fit_churn", lambda train, settings, exclude_leaky=False: fitted.append(
+        (train.count(), settings, exclude_leaky)))
+    queries.churn_model(spark, "all-trees"), queries.honest_model(spark, "all-trees")
+    assert [(n, s.churn_trees, s.churn_depth, s.churn_rate, x) for n, s, x in fitted] == [
+        (40, 400, 5, 0.03, False), (40, 400, 5, 0.03, True)]

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillgrain.operators import features as ft, joins
-from tillgrain.session import materialize
+from tillgrain.session import materialize, scratch_path
+from tillgrain.sources import store
 
 
 def equal(a, b):
@@ -58,3 +59,18 @@ def test_first_values_shuffle_only_rows_of_first_times(spark, monkeypatch, no_br
     found = ft.first_per_key(rows, "Customer ID", ["x", "y"], order)
     want = rows.groupBy("Customer ID").agg(*ft.first_values("Customer ID", ["x", "y"], order))
     assert equal(found, want) and found.count() == 50 and got[0] < 500
+
+
+@pytest.mark.parametrize("open_files", [2, 120])
+def test_the_feature_store_is_written_without_moving_rows(spark, monkeypatch, open_files):
+    rows = materialize(spark.range(400).select(
+        F.when(F.col("id") % 9 > 0, F.expr("timestamp'2023-01-15' + make_interval(0, cast(id % 30 as int))")).alias("InvoiceDate"),
+        F.col("id").cast("string").alias("Invoice")))
+    monkeypatch.setattr(store, "OPEN_FILES", open_files)
+    monkeypatch.setattr(type(rows), "repartition", None)
+    path = scratch_path(spark, "feature-store")
+    store.write_feature_store(rows, path)
+    back = spark.read.parquet(path)
+    assert equal(back.select("InvoiceDate", "Invoice"), rows)
+    assert back.filter(~F.col("year").eqNullSafe(F.year("InvoiceDate")) | ~F.col("month").eqNullSafe(F.month("InvoiceDate"))).isEmpty()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

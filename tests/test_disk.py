@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tillgrain.catalog import base_queries
 from tillgrain.operators import features as ft, joins
 from tillgrain.session import materialize, scratch_path
 from tillgrain.sources import store
@@ -74,3 +75,21 @@ def test_the_feature_store_is_written_without_moving_rows(spark, monkeypatch, op
     assert equal(back.select("InvoiceDate", "Invoice"), rows)
     assert back.filter(~F.col("year").eqNullSafe(F.year("InvoiceDate")) | ~F.col("month").eqNullSafe(F.month("InvoiceDate"))).isEmpty()
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_row_ranks_carry_the_line_key_alone(spark, monkeypatch):
+    lines = materialize(spark.range(300).select(
+        F.timestamp_seconds(F.col("id") % 20).alias("InvoiceDate"), (F.col("id") % 40).cast("string").alias("Invoice"),
+        (F.col("id") % 3).cast("string").alias("StockCode"), (F.col("id") % 50).cast("double").alias("Quantity"),
+        F.col("id").cast("double").alias("Price"), (F.col("id") % 7).cast("string").alias("Customer ID"),
+        F.lit(None).cast("string").alias("Description"), F.lit("x").alias("Country")))
+    customers = materialize(lines.groupBy("Customer ID").agg(F.count("*").alias("n_lines"), F.lit(5).alias("DaysSinceLastPurchase"),
+        (F.max("Price") % 3).cast("int").alias("order_count"), F.sum("Price").alias("CustomerLifetimeValue")))
+    monkeypatch.setattr(base_queries, "lines", lambda s, d: lines)
+    monkeypatch.setattr(base_queries, "customers", lambda s, d: customers)
+    found = base_queries.row_ranks(spark, "none")
+    assert not {"Description", "Country"} & set(found.columns)              # they tell no two lines apart
+    for name, measure in (("r_rank", "DaysSinceLastPurchase"), ("f_rank", "order_count"), ("m_rank", "CustomerLifetimeValue")):
+        rows = lines.join(customers, "Customer ID").orderBy(measure, *base_queries.ROW_ORDER).collect()
+        assert [r["Price"] for r in found.orderBy(name).collect()] == [r["Price"] for r in rows]
+        assert [r[name] for r in found.orderBy(name).collect()] == list(range(1, 301))
